@@ -1,0 +1,232 @@
+"""Posterior draws of the weekly media model, one panel per task row.
+
+Model on scaled data: revenue / mean ~ Normal(mu, sigma) with
+mu = intercept + sum_c beta_c * (1 - exp(-adstock_c / sat_k_c)) + season + trend + competitor.
+Sampling is sequential by nature, so it runs in NumPy inside tasks; Spark builds every panel's
+compact input from the fact tables and spreads the panels over the cluster. A task holds one
+panel's calendar (weeks x channels) at a time. The chains of a panel advance together as one array.
+"""
+
+from __future__ import annotations
+
+import sys
+import zlib
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.media import MAX_LAG
+
+# Task functions travel by value, so executors need no installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+# Run lengths and priors.
+CHAINS, TUNE, DRAWS, SEED = 4, 1500, 1000, 42
+DECAY_BETA = (2.0, 2.0)
+SAT_K_GAMMA = (3.0, 6.0)
+BETA_HALF_NORMAL = 0.5
+SIGMA_HALF_NORMAL = 0.3
+LINEAR_MEAN = np.array([0.9, 0, 0, 0, 0, 0, 0])
+LINEAR_SD = np.array([0.3, 0.25, 0.25, 0.25, 0.25, 0.5, 0.5])
+TARGET_ACCEPT = 0.9
+DIVERGENT_ENERGY = 1000.0
+
+OUTPUT = (
+    "panel_id string, chain int, draw bigint, diverging boolean, channels array<string>, "
+    "decay array<double>, sat_k array<double>, beta array<double>, intercept double, "
+    "season array<double>, trend double, comp double, sigma double"
+)
+
+
+def log_density(q, y, lagged, controls):
+    """Log posterior (up to a constant) and gradient for all chains: q is (chains, 3C + 8) holding
+    logit decay, log sat_k, log beta, the 7 linear coefficients and log sigma."""
+    c = lagged.shape[0]
+    zd, lk, lb, lin, ls = np.split(q, [c, 2 * c, 3 * c, 3 * c + 7], axis=1)
+    d, k, b, var = 1 / (1 + np.exp(-zd)), np.exp(lk), np.exp(lb), np.exp(2 * ls)
+    lags = np.arange(lagged.shape[2])
+    power = d[..., None] ** lags
+    total = power.sum(-1, keepdims=True)
+    w = power / total
+    slope = lags * d[..., None] ** np.maximum(lags - 1, 0)
+    w_slope = (slope - w * slope.sum(-1, keepdims=True)) / total
+
+    stock = np.matmul(lagged, w.transpose(1, 2, 0)).transpose(2, 0, 1)  # chain, channel, week
+    u = np.exp(-stock / k[..., None])
+    resid = y - lin @ controls.T - ((1 - u) * b[..., None]).sum(1)
+    sse = (resid**2).sum(1, keepdims=True)
+    pull = (resid / var)[:, None, :]
+    g_b = (pull * (1 - u)).sum(-1)
+    pulled = pull * u * b[..., None]
+    g_k = -(pulled * stock).sum(-1) / k**2
+    g_w = np.matmul((pulled / k[..., None]).transpose(1, 0, 2), lagged).transpose(1, 0, 2)
+    g_d = (g_w * w_slope).sum(-1)
+
+    (a1, a2), (ga, gr) = DECAY_BETA, SAT_K_GAMMA
+    dev = (lin - LINEAR_MEAN) / LINEAR_SD
+    logp = (
+        -len(y) * ls[:, 0] - (sse / (2 * var))[:, 0]
+        - (a1 * np.logaddexp(0, -zd) + a2 * np.logaddexp(0, zd)).sum(1)
+        + (ga * lk - gr * k).sum(1)
+        + (lb - b**2 / (2 * BETA_HALF_NORMAL**2)).sum(1)
+        - (dev**2).sum(1) / 2
+        + ls[:, 0] - var[:, 0] / (2 * SIGMA_HALF_NORMAL**2)
+    )
+    grad = np.concatenate(
+        [
+            g_d * d * (1 - d) + a1 * (1 - d) - a2 * d,
+            g_k * k + ga - gr * k,
+            g_b * b + 1 - b**2 / BETA_HALF_NORMAL**2,
+            pull[:, 0, :] @ controls - dev / LINEAR_SD,
+            sse / var - len(y) + 1 - var / SIGMA_HALF_NORMAL**2,
+        ],
+        axis=1,
+    )
+    return logp, grad
+
+
+def run_chains(y, lagged, controls, chains, tune, draws, seed):
+    """Hamiltonian Monte Carlo with a step size and a linear change of scale learnt in warm-up.
+
+    Returns draws (chains, draws, parameters) and a divergence mark per draw.
+    """
+    rng = np.random.default_rng(seed)
+    c = lagged.shape[0]
+    size = 3 * c + 8
+    centre = np.concatenate(
+        [np.zeros(c), np.full(c, np.log(0.5)), np.full(c, np.log(0.1)), LINEAR_MEAN, [np.log(0.2)]]
+    )
+    q = centre + rng.uniform(-0.3, 0.3, (chains, size))
+    scale = np.eye(size) * 0.1
+    logp, grad = log_density(q, y, lagged, controls)
+    log_eps, mean_log_eps, drift, since = np.log(0.1), np.log(0.1), 0.0, 0
+    relearn = [int(tune * f) for f in (0.2, 0.4, 0.7, 0.9)]
+    window: list[np.ndarray] = []
+    kept = np.empty((chains, draws, size))
+    bad = np.zeros((chains, draws), dtype=bool)
+
+    for it in range(tune + draws):
+        warm = it < tune
+        eps = np.exp(log_eps if warm else mean_log_eps)
+        p = rng.standard_normal((chains, size))
+        energy = logp - (p**2).sum(1) / 2
+        new_q, new_p, new_logp, new_grad = q, p, logp, grad
+        with np.errstate(all="ignore"):
+            for _ in range(rng.integers(8, 33)):
+                half = new_p + eps / 2 * (new_grad @ scale)
+                new_q = new_q + eps * (half @ scale.T)
+                new_logp, new_grad = log_density(new_q, y, lagged, controls)
+                new_p = half + eps / 2 * (new_grad @ scale)
+            change = new_logp - (new_p**2).sum(1) / 2 - energy
+        change = np.where(np.isfinite(change), change, -np.inf)
+        accept = np.minimum(1.0, np.exp(np.minimum(change, 0.0)))
+        take = rng.random(chains) < accept
+        q = np.where(take[:, None], new_q, q)
+        grad = np.where(take[:, None], new_grad, grad)
+        logp = np.where(take, new_logp, logp)
+        if not warm:
+            kept[:, it - tune] = q
+            bad[:, it - tune] = -change > DIVERGENT_ENERGY
+            continue
+        window.append(q)
+        since += 1
+        drift += TARGET_ACCEPT - accept.mean()
+        log_eps = min(np.log(0.1) - np.sqrt(since) / 0.05 * drift / (since + 10), np.log(1.5))
+        rate = since**-0.75
+        mean_log_eps = rate * log_eps + (1 - rate) * mean_log_eps
+        if it + 1 in relearn:
+            pooled = np.concatenate(window[len(window) // 3 :])
+            cov = np.cov(pooled.T) * 0.98 + np.diag(pooled.var(0)) * 0.02 + np.eye(size) * 1e-6
+            scale = np.linalg.cholesky(cov)
+            log_eps = mean_log_eps = np.log(0.1)
+            window, drift, since = [], 0.0, 0
+    return kept, bad
+
+
+def panel_inputs(series: DataFrame, weekly_scaled: DataFrame) -> DataFrame:
+    """One row per panel: channels with scaled spend by t, and the weekly terms by t."""
+    channels = series.groupBy("panel_id").agg(
+        F.sort_array(F.collect_list(F.struct("channel", "xs"))).alias("channels")
+    )
+    cols = ["t", "scaled", "season_0", "season_1", "season_2", "season_3", "trend", "competitor"]
+    weeks = weekly_scaled.groupBy("panel_id").agg(
+        F.sort_array(F.collect_list(F.struct(*cols))).alias("weeks")
+    )
+    return channels.join(weeks, "panel_id").select(
+        "panel_id",
+        F.col("channels.channel").alias("channels"),
+        F.col("channels.xs").alias("xs"),
+        *[F.col(f"weeks.{c}").alias(c) for c in cols[1:]],
+    )
+
+
+def posterior_draws(
+    inputs: DataFrame, chains: int = CHAINS, tune: int = TUNE, draws: int = DRAWS,
+    seed: int = SEED, tasks: int | None = None,
+) -> DataFrame:
+    """Draws of every panel, one row per (panel_id, chain, draw) with channel arrays.
+
+    Panels are dealt out evenly over ``tasks`` tasks, since a row is seconds of work although it is
+    small. The seed depends on the panel only, so a retried task returns the same draws.
+    """
+    spread = tasks or inputs.sparkSession.sparkContext.defaultParallelism * 4
+
+    def sample(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples():
+                yield _sample_row(row, chains, tune, draws, seed)
+
+    return inputs.repartition(spread).mapInPandas(sample, OUTPUT)
+
+
+def _sample_row(row, chains, tune, draws, seed) -> pd.DataFrame:
+    y = np.asarray(row.scaled)
+    xs = np.stack([np.asarray(x) for x in row.xs])
+    lagged = np.zeros((*xs.shape, MAX_LAG))
+    for lag in range(MAX_LAG):
+        lagged[:, lag:, lag] = xs[:, : xs.shape[1] - lag]
+    controls = np.column_stack(
+        [np.ones_like(y), row.season_0, row.season_1, row.season_2, row.season_3, row.trend,
+         row.competitor]
+    )
+    own_seed = [seed, zlib.crc32(str(row.panel_id).encode())]
+    kept, bad = run_chains(y, lagged, controls, chains, tune, draws, own_seed)
+    flat, c = kept.reshape(chains * draws, -1), len(xs)
+    return pd.DataFrame(
+        {
+            "panel_id": row.panel_id,
+            "chain": np.repeat(np.arange(chains, dtype="int32"), draws),
+            "draw": np.tile(np.arange(draws), chains),
+            "diverging": bad.ravel(),
+            "channels": [list(row.channels)] * len(flat),
+            "decay": list(1 / (1 + np.exp(-flat[:, :c]))),
+            "sat_k": list(np.exp(flat[:, c : 2 * c])),
+            "beta": list(np.exp(flat[:, 2 * c : 3 * c])),
+            "intercept": flat[:, 3 * c],
+            "season": list(flat[:, 3 * c + 1 : 3 * c + 5]),
+            "trend": flat[:, 3 * c + 5],
+            "comp": flat[:, 3 * c + 6],
+            "sigma": np.exp(flat[:, -1]),
+        }
+    )
+
+
+def channel_draws(sampled: DataFrame) -> DataFrame:
+    """(panel_id, chain, draw, channel, decay, sat_k, beta)."""
+    zipped = F.arrays_zip("channels", "decay", "sat_k", "beta")
+    return sampled.select("panel_id", "chain", "draw", F.inline(zipped)).withColumnRenamed(
+        "channels", "channel"
+    )
+
+
+def global_draws(sampled: DataFrame) -> DataFrame:
+    """(panel_id, chain, draw, intercept, season_0..3, trend, comp, sigma)."""
+    return sampled.select(
+        "panel_id", "chain", "draw", "intercept",
+        *[F.col("season")[i].alias(f"season_{i}") for i in range(4)],
+        "trend", "comp", "sigma",
+    )
