@@ -55,11 +55,9 @@ def running_totals(
         placed = spread_join(merged, cuts, keys, [value])
     else:
         placed = merged.withColumn("_cuts", merged.agg(cut).scalar())
-    placed = placed.withColumn(
-        "_range", F.size(F.filter("_cuts", lambda c: c < F.col(value)))
-    ).drop("_cuts")
-    if descending:
-        placed = placed.withColumn("_range", -F.col("_range"))
+    # never null, or Catalyst would test the join key for null below the aggregate, on raw rows
+    cuts_below = F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col(value))), F.lit(0))
+    placed = placed.withColumn("_range", -cuts_below if descending else cuts_below).drop("_cuts")
 
     ranges = placed.groupBy(*keys, "_range").agg(*[F.sum(s).alias(s) for s in sums])
     before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

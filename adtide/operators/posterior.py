@@ -1,9 +1,11 @@
 """Operators over posterior draws: adstock, revenue, ROI, scenarios, bands, convergence.
 
 ``draws`` has one row per (panel_id, chain, draw, channel) with decay, sat_k and beta; ``series``
-is one packed row per (panel_id, channel). A draw meets its packed series once, is expanded to
-weeks inside the task, and is summed back before anything is shuffled, so weeks x draws rows never
-cross the network. Draws of one hot panel are spread by ``spread_join``.
+is one packed row per (panel_id, channel). Draws are placed by (panel_id, chain, draw) first: a
+row is small but stands for weeks x scenarios of work, and a hot panel is spread over all tasks.
+A draw then meets its packed series, is expanded to weeks inside the task and summed back there.
+With a broadcast series every later group by draw keeps that placement and shuffles nothing more;
+with a large one the salted join of ``spread_join`` takes over and only per-draw sums move.
 """
 
 from __future__ import annotations
@@ -19,24 +21,34 @@ from .ordered import credible_interval, exact_quantiles, spread_join
 DRAW = ["panel_id", "chain", "draw"]
 
 
-def draw_adstock(draws: DataFrame, series: DataFrame, max_lag: int = MAX_LAG) -> DataFrame:
-    """Normalised adstock of every draw and week: adds t, adstock and the series constants."""
+def by_draw(df: DataFrame) -> DataFrame:
+    """Rows placed by draw; the count is fixed because AQE would merge the small rows again."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(tasks, *DRAW)
+
+
+def draw_adstock(
+    draws: DataFrame, series: DataFrame, scenarios: DataFrame | None = None, max_lag: int = MAX_LAG
+) -> DataFrame:
+    """Normalised adstock of every draw and week: adds t, adstock and the series constants.
+
+    With ``scenarios`` there is one copy per scenario with its multiplier ``m``; scenarios may
+    differ by panel. They are joined to draws, not to draws x weeks.
+    """
     names = [f"_w{i}" for i in range(max_lag)]
     weights = [w.alias(n) for w, n in zip(lag_weights(F.col("decay"), max_lag), names)]
-    weighted = draws.select("*", *weights)
-    rows = spread_join(weighted, series, ["panel_id", "channel"], ["chain", "draw"]).select(
+    rows = spread_join(
+        by_draw(draws).select("*", *weights), series, ["panel_id", "channel"], ["chain", "draw"]
+    )
+    if scenarios is not None:
+        rows = rows.join(scenarios, [c for c in ("panel_id", "channel") if c in scenarios.columns])
+    rows = rows.select(
         "*", F.explode(F.sequence(F.lit(0), F.col("n_weeks").cast("int") - 1)).alias("t")
     )
     adstock = weighted_lags([F.col(n) for n in names], F.col("xs"), F.col("t"))
     return rows.withColumn("adstock", adstock).drop("xs", *names)
 
 
-def with_scenarios(rows: DataFrame, scenarios: DataFrame) -> DataFrame:
-    """One copy per scenario with its multiplier ``m``; scenarios may differ by panel."""
-    on = [c for c in ("panel_id", "channel") if c in scenarios.columns]
-    return rows.join(scenarios, on)
-
-
 def channel_revenue(draws: DataFrame, series: DataFrame, scenarios: DataFrame) -> DataFrame:
     """Revenue of a channel per scenario and draw: revenue_mean * beta * sum_t sat(m * adstock)."""
     return _revenue(draws, series, scenarios, ["scenario_id", *DRAW, "channel"])
@@ -48,7 +60,7 @@ def scenario_revenue(draws: DataFrame, series: DataFrame, scenarios: DataFrame)
 
 
 def _revenue(draws, series, scenarios, keys) -> DataFrame:
-    rows = with_scenarios(draw_adstock(draws, series), scenarios)
+    rows = draw_adstock(draws, series, scenarios)
     sat = exponential_saturation(F.col("m") * F.col("adstock"), F.col("sat_k"))
     worth = F.col("revenue_mean") * F.col("beta") * sat
     return rows.groupBy(*keys).agg(F.sum(worth).alias("revenue"))
@@ -130,15 +142,15 @@ def predictive_band(
 ) -> DataFrame:
     """(panel_id, week, t, mean, lo, hi) of expected revenue.
 
-    Both inputs are placed by draw first. With a broadcast series the channels of a draw stay in
-    one task and merge there; only (draw, week) sums are shuffled.
+    Both inputs are placed by draw. With a broadcast series the channels of a draw stay in one task
+    and merge there; only (draw, week) sums are shuffled.
     """
-    media = draw_adstock(draws.repartition(*DRAW), series).select(
+    media = draw_adstock(draws, series).select(
         *DRAW, "t",
         (F.col("beta") * exponential_saturation(F.col("adstock"), F.col("sat_k"))).alias("part"),
     )
     weeks = spread_join(
-        globals_.repartition(*DRAW),
+        by_draw(globals_),
         weekly.select("panel_id", "weeks"),
         ["panel_id"],
         ["chain", "draw"],

@@ -198,7 +198,7 @@ def ctr_model_score(spark: SparkSession, sf_dir: str) -> DataFrame:
         _clean(spark, sf_dir), INT_COLS, CAT_COLS, [*ROW_KEY, "label"]
     )
     split = clicks.with_split(features, src.row_bucket(100))
-    stored = write_parquet(split, scratch_path(spark, "features"), ["split"])
+    stored = write_parquet(split, scratch_path(spark, "features"), ["split"], ROW_KEY)
     model = clicks.fit_click_model(stored.where(F.col("split") == "train"))
     return clicks.score_rows(model, stored.where(F.col("split") == "test"), [*ROW_KEY, "label"])
 

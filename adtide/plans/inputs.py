@@ -100,18 +100,18 @@ def media_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Line items are summed per order before they meet the orders, and orders per customer and week
     before they meet the customers, so neither a hot order nor a hot customer reaches a join with
-    more rows than it has orders or weeks. Money is summed as decimals, so the order of the
-    partial sums does not matter.
+    more rows than it has orders or weeks. Money is summed as whole cents (times whole percent), so
+    the order of the partial sums does not matter.
     """
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
-    disc = F.col("l_discount").cast("decimal(4,2)")
+    price = F.rint(F.col("l_extendedprice") * 100).cast("bigint")
+    disc = F.rint(F.col("l_discount") * 100).cast("bigint")
     per_order = (
         load(spark, sf_dir, "lineitem")
         .groupBy(F.col("l_orderkey").alias("o_orderkey"))
-        .agg(F.sum(price * disc).alias("spend"), F.sum(price * (1 - disc)).alias("revenue"))
+        .agg(F.sum(price * disc).alias("spend"), F.sum(price * (100 - disc)).alias("revenue"))
     )
     rival = F.when(
-        F.col("o_orderpriority") == "5-LOW", F.col("o_totalprice").cast("decimal(14,2)")
+        F.col("o_orderpriority") == "5-LOW", F.rint(F.col("o_totalprice") * 100).cast("bigint")
     )
     per_customer = (
         load(spark, sf_dir, "orders")
@@ -131,8 +131,8 @@ def media_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("panel_id", F.col("c_mktsegment").alias("channel"), "week")
         .agg(
             *[
-                F.coalesce(F.sum(c).cast("double"), F.lit(0.0)).alias(c)
-                for c in ("spend", "revenue", "competitor")
+                (F.coalesce(F.sum(c), F.lit(0)) / unit).alias(c)
+                for c, unit in (("spend", 10_000), ("revenue", 10_000), ("competitor", 100))
             ]
         )
     )

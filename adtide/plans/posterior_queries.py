@@ -145,16 +145,16 @@ uplift AS (
 )
 
 
-@query(_REV + "SELECT scenario_id, panel_id, chain, draw, channel, round(revenue, 3) AS revenue FROM revenue")
+@query(_REV + "SELECT scenario_id, panel_id, chain, draw, channel, round(revenue, 2) AS revenue FROM revenue")
 def channel_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return posterior.channel_revenue(
         src.draws(spark, sf_dir), _series(spark, sf_dir), src.scenarios(spark)
-    ).withColumn("revenue", F.round("revenue", 3))
+    ).withColumn("revenue", F.round("revenue", 2))
 
 
-@query(_REV + "SELECT scenario_id, panel_id, chain, draw, round(revenue, 3) AS revenue FROM total")
+@query(_REV + "SELECT scenario_id, panel_id, chain, draw, round(revenue, 1) AS revenue FROM total")
 def scenario_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scenario_revenue(spark, sf_dir).withColumn("revenue", F.round("revenue", 3))
+    return _scenario_revenue(spark, sf_dir).withColumn("revenue", F.round("revenue", 1))
 
 
 def _scenario_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,13 +165,13 @@ def _scenario_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     _REV
-    + """SELECT scenario_id, panel_id, chain, draw, round(revenue, 3) AS revenue,
-    round(uplift, 3) + 0.0 AS uplift FROM uplift"""
+    + """SELECT scenario_id, panel_id, chain, draw, round(revenue, 1) AS revenue,
+    round(uplift, 1) + 0.0 AS uplift FROM uplift"""
 )
 def uplift_by_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return posterior.uplift_by_draw(_scenario_revenue(spark, sf_dir)).select(
-        "scenario_id", *posterior.DRAW, *rounded(3, "revenue"),
-        (F.round("uplift", 3) + 0.0).alias("uplift"),
+        "scenario_id", *posterior.DRAW, *rounded(1, "revenue"),
+        (F.round("uplift", 1) + 0.0).alias("uplift"),
     )
 
 
@@ -222,10 +222,10 @@ roi AS (
 SELECT r.panel_id, r.channel, round(avg(coalesce(roi, 0)), 7) AS roi_mean,
   round(quantile_cont(coalesce(roi, 0), 0.05), 7) AS roi_lo,
   round(quantile_cont(coalesce(roi, 0), 0.95), 7) AS roi_hi,
-  round(any_value(r.spend_total) * 100 /
-    (SELECT sum(spend_total) FROM totals t WHERE t.panel_id = r.panel_id), 8) AS budget_share_pct,
+  round(any_value(r.spend_total) * 100 / any_value(panel_total), 8) AS budget_share_pct,
   round(any_value(r.spend_total), 4) AS spend_total
-FROM roi r GROUP BY ALL"""
+FROM roi r JOIN (SELECT panel_id, sum(spend_total) AS panel_total FROM totals GROUP BY panel_id)
+  USING (panel_id) GROUP BY ALL"""
 )
 def posterior_roi(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = posterior.posterior_roi(src.draws(spark, sf_dir), _series(spark, sf_dir))
@@ -348,7 +348,7 @@ def _fill_sql(name: str, bounds: str, steps: int) -> str:
          spend_total
   FROM {bounds} JOIN means USING (panel_id, channel) JOIN stock USING (panel_id, channel),
        range({steps + 1}) AS r(step)
-  GROUP BY ALL, revenue_mean, beta),
+  GROUP BY panel_id, channel, step, lo, hi, spend_total, revenue_mean, beta),
 {name}_step AS (
   SELECT *, width * spend_total AS cost,
          lead(revenue) OVER (PARTITION BY panel_id, channel ORDER BY step) - revenue AS gain
@@ -418,14 +418,14 @@ def allocation_direction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     _MEANS
     + """SELECT panel_id, channel, CAST(step AS INTEGER) AS step, round(step * 2 / 119, 9) AS m,
-    round(step * 2 / 119 * spend_total, 2) AS spend,
+    round(step * 2 / 119 * spend_total, 4) AS spend,
     round(revenue_mean * beta * sum(1 - exp(-(step * 2 / 119) * a / k)), 3) AS revenue
     FROM means JOIN stock USING (panel_id, channel), range(120) AS r(step)
     GROUP BY panel_id, channel, step, spend_total, revenue_mean, beta"""
 )
 def response_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return allocation.response_curve(_means(spark, sf_dir)).select(
-        *PC, "step", *rounded(9, "m"), *rounded(2, "spend"), *rounded(3, "revenue")
+        *PC, "step", *rounded(9, "m"), *rounded(4, "spend"), *rounded(3, "revenue")
     )
 
 

@@ -26,14 +26,22 @@ def read_first_parts(spark: SparkSession, root: str, day: str, n: int | None = 2
     return spark.read.option("basePath", root).parquet(*(paths if n is None else paths[:n]))
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
+def write_parquet(
+    df: DataFrame, path: str, partition_by: list[str] | None = None,
+    spread_by: list[str] | None = None,
+) -> DataFrame:
     """Overwrite ``path`` and return a scan of what was written.
 
     With partition columns, the rebalance hint gathers each value into few files and lets AQE
-    split a value that holds a large share of the rows over several tasks.
+    split a value that holds a large share of the rows over several tasks. With ``spread_by``, a
+    row key, rows are dealt evenly over all tasks instead, for data that is read many times.
     """
     keys = partition_by or []
-    out = df.hint("rebalance", *keys) if keys else df
+    if spread_by:
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        out = df.repartition(tasks, *spread_by)
+    else:
+        out = df.hint("rebalance", *keys) if keys else df
     writer = out.write.mode("overwrite")
     (writer.partitionBy(*keys) if keys else writer).parquet(path)
     return df.sparkSession.read.parquet(path)
