@@ -1,9 +1,8 @@
 """Exact ordered aggregates for groups of any size: running totals, quantiles, histograms.
 
-An exact rank needs the order of a whole group. A window over the group would put a group that
-holds a third of all rows into one task, so the distinct values of each group are cut into ranges
-at approximate quantiles, every range is summed on its own, and the ranges before it are added as
-an offset. The cuts only balance the work; the result does not depend on them.
+An exact rank needs the order of a whole group, and a window over a group that holds a third of
+all rows would put them into one task. Sketches are used to divide the work instead: at cut points
+for running totals, around the wanted ranks for quantiles. The results do not depend on them.
 """
 
 from __future__ import annotations
@@ -14,7 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SPLITS = 64
-SALTS = 16
+ACCURACY = 10_000
+SALTS = 16  # a power of two
 
 
 def spread_join(
@@ -31,8 +31,9 @@ def spread_join(
     lands in one task. Whether ``small`` is broadcast is left to the optimiser, which knows its
     size.
     """
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    # a bit mask is never null, unlike a remainder, so the key adds no null test to the plan below
+    salted = big.withColumn("_salt", F.xxhash64(*spread_by).bitwiseAND(F.lit(salts - 1)))
+    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
@@ -42,9 +43,11 @@ def running_totals(
 ) -> DataFrame:
     """One row per (keys, value) with ``s``, ``s_cum`` and ``s_total`` for each column in ``sums``.
 
-    ``s_cum`` includes the row's own value. Equal values are merged first. The merged rows are
-    read three times (cuts, range sums, final window) from one shuffle: all three readers keep the
-    same columns, which lets Spark reuse the exchange.
+    ``s_cum`` includes the row's own value. Equal values are merged first; the distinct values are
+    cut into ranges at approximate quantiles, every range is summed on its own, and the sums of
+    the ranges before it are added. The merged rows are read three times (cuts, range sums, final
+    window) from one shuffle: all three readers keep the same columns, which lets Spark reuse the
+    exchange.
     """
     merged = df.groupBy(*keys, value).agg(*[F.sum(s).alias(s) for s in sums])
     present = reduce(lambda a, b: a & b, [F.col(s).isNotNull() for s in sums])
@@ -82,34 +85,67 @@ def running_totals(
     )
 
 
-def _at_rank(value: str, rank: Column) -> Column:
-    """The value at a 0-based rank, as an aggregate over running totals of ``n``."""
-    holds = (F.col("n_cum") - F.col("n") <= rank) & (rank < F.col("n_cum"))
-    return F.max(F.when(holds, F.col(value)))
-
-
 def exact_quantiles(
-    df: DataFrame, keys: list[str], value: str, probs: dict[str, float], splits: int = SPLITS,
-    totals: list[str] | None = None,
+    df: DataFrame, keys: list[str], value: str, probs: dict[str, float],
+    totals: list[str] | None = None, accuracy: int = ACCURACY,
 ) -> DataFrame:
     """Linear-interpolation quantiles per group, plus ``mean``, ``n`` and the sums of ``totals``.
 
-    ``probs`` maps an output name to a probability.
+    ``probs`` maps an output name to a probability. A sketch first gives values that enclose each
+    wanted rank; its rank error is at most rows / accuracy and the enclosure is four times wider.
+    Then all rows outside the enclosures are counted into one row per gap, before the shuffle, and
+    only enclosed values, merged when equal, are put in order: 8 / accuracy of a group per
+    quantile. A rank that fell into a gap would raise an error rather than give a wrong value.
+
+    The input is read twice; stage it where it is expensive.
     """
     totals = totals or []
-    cum = running_totals(df.withColumn("n", F.lit(1)), keys, value, ["n", *totals], splits)
+    v = F.col(value)
+    margin = 4 / accuracy
+    points = [x for p in probs.values() for x in (max(p - margin, 0.0), min(p + margin, 1.0))]
+    present = df.where(v.isNotNull())
+    bounds = present.groupBy(*keys).agg(
+        F.percentile_approx(value, points, accuracy).alias("_bounds")
+    )
+    pairs = [(F.col("_bounds")[i], F.col("_bounds")[i + 1]) for i in range(0, len(points), 2)]
+    enclosed = reduce(lambda a, b: a | b, [(v >= lo) & (v <= hi) for lo, hi in pairs])
+    gap = reduce(lambda a, b: a + b, [(v > hi).cast("int") for _, hi in pairs])
+    compact = (
+        spread_join(present, bounds, keys, [value])
+        .groupBy(*keys, F.when(enclosed, v).alias("_value"), gap.alias("_gap"))
+        .agg(
+            F.count("*").alias("n"),
+            F.min(value).alias("_low"),
+            F.max(value).alias("_high"),
+            F.sum(value).alias("_sum"),
+            *[F.sum(t).alias(t) for t in totals],
+        )
+    )
+    before = Window.partitionBy(*keys).orderBy("_low").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    ranked = compact.select(
+        "*",
+        F.sum("n").over(before).alias("_upto"),
+        F.sum("n").over(Window.partitionBy(*keys)).alias("_all"),
+    )
+
+    def at(rank: Column) -> Column:
+        holds = (F.col("_upto") - F.col("n") <= rank) & (rank < F.col("_upto"))
+        known = F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise(
+            F.raise_error(F.lit("quantile outside its enclosure; raise the accuracy"))
+        )
+        return F.max(F.when(holds, known))
+
     aggs = [
-        *[F.sum(s).alias(s) for s in totals],
-        F.max("n_total").alias("n"),
-        (F.sum(F.col(value) * F.col("n")) / F.max("n_total")).alias("mean"),
+        F.max("_all").alias("n"),
+        (F.sum("_sum") / F.max("_all")).alias("mean"),
+        *[F.sum(t).alias(t) for t in totals],
     ]
     for name, p in probs.items():
-        pos = F.lit(p) * (F.col("n_total") - 1)
-        aggs += [
-            _at_rank(value, F.floor(pos)).alias(f"_{name}_lo"),
-            _at_rank(value, F.ceil(pos)).alias(f"_{name}_hi"),
-        ]
-    picked = cum.groupBy(*keys).agg(*aggs)
+        pos = F.lit(p) * (F.col("_all") - 1)
+        aggs += [at(F.floor(pos)).alias(f"_{name}_lo"), at(F.ceil(pos)).alias(f"_{name}_hi")]
+    picked = ranked.groupBy(*keys).agg(*aggs)
     out = [*keys, "n", "mean", *totals]
     for name, p in probs.items():
         pos = F.lit(p) * (F.col("n") - 1)
@@ -118,9 +154,9 @@ def exact_quantiles(
     return picked.select(*out)
 
 
-def credible_interval(df: DataFrame, keys: list[str], value: str, splits: int = SPLITS) -> DataFrame:
+def credible_interval(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Mean and the central 90 percent interval per group."""
-    return exact_quantiles(df, keys, value, {"lo": 0.05, "hi": 0.95}, splits)
+    return exact_quantiles(df, keys, value, {"lo": 0.05, "hi": 0.95})
 
 
 def equal_width_histogram(

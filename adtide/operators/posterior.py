@@ -82,15 +82,19 @@ def uplift_summary(uplift: DataFrame) -> DataFrame:
     return out.withColumn("p_gain", F.col("gain") / F.col("n")).drop("gain")
 
 
-def posterior_roi(draws: DataFrame, series: DataFrame) -> DataFrame:
-    """ROI per channel: mean, 5 and 95 percent over draws, share of budget and total spend."""
+def roi_by_draw(draws: DataFrame, series: DataFrame) -> DataFrame:
+    """Revenue of a channel over its spend, draw by draw; 0 without spend."""
     sat = exponential_saturation(F.col("adstock"), F.col("sat_k"))
     worth = F.sum(F.col("revenue_mean") * F.col("beta") * sat)
-    roi = (
+    return (
         draw_adstock(draws, series)
         .groupBy(*DRAW, "channel")
-        .agg(safe_ratio(worth, F.first("spend_total")).alias("roi"))
+        .agg(safe_ratio(worth, F.max("spend_total")).alias("roi"))
     )
+
+
+def posterior_roi(roi: DataFrame, series: DataFrame) -> DataFrame:
+    """ROI per channel: mean, 5 and 95 percent over draws, share of budget and total spend."""
     panel = Window.partitionBy("panel_id")
     spend = series.select(
         "panel_id",
@@ -137,10 +141,10 @@ def posterior_means(draws: DataFrame, series: DataFrame, max_lag: int = MAX_LAG)
     return series.join(means, ["panel_id", "channel"]).withColumn("stock", stock).drop("_w", "xs")
 
 
-def predictive_band(
+def expected_by_draw(
     draws: DataFrame, globals_: DataFrame, series: DataFrame, weekly: DataFrame
 ) -> DataFrame:
-    """(panel_id, week, t, mean, lo, hi) of expected revenue.
+    """(panel_id, chain, draw, t, mu): expected revenue of every draw and week, scaled.
 
     Both inputs are placed by draw. With a broadcast series the channels of a draw stay in one task
     and merge there; only (draw, week) sums are shuffled.
@@ -166,8 +170,12 @@ def predictive_band(
     controls = weeks.select("*", F.explode("weeks").alias("wk")).select(
         *DRAW, F.col("wk.t").cast("int").alias("t"), control.alias("part")
     )
-    mu = media.unionByName(controls).groupBy(*DRAW, "t").agg(F.sum("part").alias("mu"))
-    band = credible_interval(mu, ["panel_id", "t"], "mu", splits=8)
+    return media.unionByName(controls).groupBy(*DRAW, "t").agg(F.sum("part").alias("mu"))
+
+
+def predictive_band(mu: DataFrame, weekly: DataFrame) -> DataFrame:
+    """(panel_id, week, t, mean, lo, hi) of expected revenue."""
+    band = credible_interval(mu, ["panel_id", "t"], "mu")
     calendar = weekly.select("panel_id", "revenue_mean", F.explode("weeks").alias("wk")).select(
         "panel_id", "revenue_mean", F.col("wk.week").alias("week"), F.col("wk.t").cast("int").alias("t")
     )

@@ -1,7 +1,8 @@
 """Queries on posterior draws: adstock, revenue, ROI, scenarios, bands, allocation, sampling.
 
 The packed series are a few rows per panel out of a scan of all orders and line items; they are
-staged once per query, because the plans read them several times.
+staged once per query, because the plans read them several times. Per-draw results are staged
+before their quantiles are taken, for the same reason.
 """
 
 from __future__ import annotations
@@ -228,7 +229,9 @@ FROM roi r JOIN (SELECT panel_id, sum(spend_total) AS panel_total FROM totals GR
   USING (panel_id) GROUP BY ALL"""
 )
 def posterior_roi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = posterior.posterior_roi(src.draws(spark, sf_dir), _series(spark, sf_dir))
+    series = _series(spark, sf_dir)
+    roi = stage(posterior.roi_by_draw(src.draws(spark, sf_dir), series), "roi")
+    out = posterior.posterior_roi(roi, series)
     return out.select(
         *PC, *rounded(7, "roi_mean", "roi_lo", "roi_hi"), *rounded(8, "budget_share_pct"),
         *rounded(4, "spend_total"),
@@ -261,12 +264,14 @@ mu AS (
 )
 def predictive_band(spark: SparkSession, sf_dir: str) -> DataFrame:
     dense = stage(src.media_panel(spark, sf_dir), "panel")
-    out = posterior.predictive_band(
+    weekly = stage(panel.pack_weekly(dense), "weekly")
+    mu = posterior.expected_by_draw(
         src.draws(spark, sf_dir),
         src.draws_global(spark, sf_dir),
         stage(panel.pack_series(dense), "series"),
-        stage(panel.pack_weekly(dense), "weekly"),
+        weekly,
     )
+    out = posterior.predictive_band(stage(mu, "mu"), weekly)
     return out.select("panel_id", "week", "t", *rounded(3, "mean", "lo", "hi"))
 
 
