@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exponential_saturation, lag_weights, safe_ratio
 from ..functions.media import MAX_LAG
+from ..sources.files import spread_rows
 from .carryover import weighted_lags
 from .ordered import credible_interval, exact_quantiles, spread_join
 
@@ -23,8 +24,7 @@ DRAW = ["panel_id", "chain", "draw"]
 
 def by_draw(df: DataFrame) -> DataFrame:
     """Rows placed by draw; the count is fixed because AQE would merge the small rows again."""
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(tasks, *DRAW)
+    return spread_rows(df, DRAW)
 
 
 def draw_adstock(

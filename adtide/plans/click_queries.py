@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import clicks, metrics
-from ..sources import read_partitioned, scratch_path, write_parquet
+from ..sources import read_partitioned, scratch_path, spread_rows, write_parquet
 from . import inputs as src
 from .inputs import CAT_COLS, INT_COLS, ROW_KEY, SPLIT_TEXT, SQL_AD_LOG, SQL_SCORES, sql_bucket
 from .registry import query, rounded
@@ -194,11 +194,9 @@ def bounded_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def ctr_model_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train on the train part of the stored features, score the test part."""
-    features = clicks.feature_table(
-        _clean(spark, sf_dir), INT_COLS, CAT_COLS, [*ROW_KEY, "label"]
-    )
-    split = clicks.with_split(features, src.row_bucket(100))
-    stored = write_parquet(split, scratch_path(spark, "features"), ["split"], ROW_KEY)
+    split = clicks.with_split(spread_rows(_clean(spark, sf_dir), ROW_KEY), src.row_bucket(100))
+    features = clicks.feature_table(split, INT_COLS, CAT_COLS, [*ROW_KEY, "label", "split"])
+    stored = write_parquet(features, scratch_path(spark, "features"), ["split"], gather=False)
     model = clicks.fit_click_model(stored.where(F.col("split") == "train"))
     return clicks.score_rows(model, stored.where(F.col("split") == "test"), [*ROW_KEY, "label"])
 

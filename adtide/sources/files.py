@@ -26,22 +26,25 @@ def read_first_parts(spark: SparkSession, root: str, day: str, n: int | None = 2
     return spark.read.option("basePath", root).parquet(*(paths if n is None else paths[:n]))
 
 
+def spread_rows(df: DataFrame, key: list[str]) -> DataFrame:
+    """Rows dealt evenly over all shuffle partitions by a row key, whatever the input's files.
+
+    For rows that become expensive (hashed vectors) or are read many times (training input). A
+    hash of the key gives a retried task the same rows again.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *key)
+
+
 def write_parquet(
-    df: DataFrame, path: str, partition_by: list[str] | None = None,
-    spread_by: list[str] | None = None,
+    df: DataFrame, path: str, partition_by: list[str] | None = None, gather: bool = True
 ) -> DataFrame:
     """Overwrite ``path`` and return a scan of what was written.
 
-    With partition columns, the rebalance hint gathers each value into few files and lets AQE
-    split a value that holds a large share of the rows over several tasks. With ``spread_by``, a
-    row key, rows are dealt evenly over all tasks instead, for data that is read many times.
+    With partition columns, ``gather`` collects each value into few files; AQE splits a value that
+    holds a large share of the rows over several tasks. Without it every task writes its own rows.
     """
     keys = partition_by or []
-    if spread_by:
-        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        out = df.repartition(tasks, *spread_by)
-    else:
-        out = df.hint("rebalance", *keys) if keys else df
+    out = df.hint("rebalance", *keys) if keys and gather else df
     writer = out.write.mode("overwrite")
     (writer.partitionBy(*keys) if keys else writer).parquet(path)
     return df.sparkSession.read.parquet(path)
