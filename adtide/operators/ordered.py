@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 SPLITS = 64
 ACCURACY = 10_000
+WIDE = 0.005
 SALTS = 16  # a power of two
 
 
@@ -91,25 +92,38 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linear-interpolation quantiles per group, plus ``mean``, ``n`` and the sums of ``totals``.
 
-    ``probs`` maps an output name to a probability. A sketch first gives values that enclose each
-    wanted rank; its rank error is at most rows / accuracy and the enclosure is four times wider.
-    Then all rows outside the enclosures are counted into one row per gap, before the shuffle, and
-    only enclosed values, merged when equal, are put in order: 8 / accuracy of a group per
-    quantile. A rank that fell into a gap would raise an error rather than give a wrong value.
+    ``probs`` maps an output name to a probability. A sketch, whose rank error is at most
+    rows / accuracy, first gives values that enclose each wanted rank by at least four ranks: a
+    share of ``WIDE`` on either side, in groups above ``accuracy`` rows only 4 / accuracy, and all
+    of a group too small for either. Then the rows outside the enclosures are counted into one row
+    per gap, before the shuffle, and only enclosed values, merged when equal, are put in order. A
+    rank that fell into a gap would raise an error rather than give a wrong value.
 
     The input is read twice; stage it where it is expensive.
     """
     totals = totals or []
     v = F.col(value)
-    margin = 4 / accuracy
-    points = [x for p in probs.values() for x in (max(p - margin, 0.0), min(p + margin, 1.0))]
+    narrow = 4 / accuracy
+    wide = max(WIDE, narrow)
+    margins = (-wide, -narrow, narrow, wide)
+    points = [min(max(p + m, 0.0), 1.0) for p in probs.values() for m in margins]
     present = df.where(v.isNotNull())
     bounds = present.groupBy(*keys).agg(
-        F.percentile_approx(value, points, accuracy).alias("_bounds")
+        F.percentile_approx(value, points, accuracy).alias("_bounds"),
+        F.count("*").alias("_rows"),
     )
-    pairs = [(F.col("_bounds")[i], F.col("_bounds")[i + 1]) for i in range(0, len(points), 2)]
-    enclosed = reduce(lambda a, b: a | b, [(v >= lo) & (v <= hi) for lo, hi in pairs])
-    gap = reduce(lambda a, b: a + b, [(v > hi).cast("int") for _, hi in pairs])
+    large, small = F.col("_rows") > accuracy, F.col("_rows") < 4 / wide
+    at_point = lambda i: F.col("_bounds")[i]
+    pairs = [
+        (
+            F.when(large, at_point(i + 1)).otherwise(at_point(i)),
+            F.when(large, at_point(i + 2)).otherwise(at_point(i + 3)),
+        )
+        for i in range(0, len(points), 4)
+    ]
+    enclosed = reduce(lambda a, b: a | b, [small, *((v >= lo) & (v <= hi) for lo, hi in pairs)])
+    above = reduce(lambda a, b: a + b, [(v > hi).cast("int") for _, hi in pairs])
+    gap = F.when(small, F.lit(0)).otherwise(above)
     compact = (
         spread_join(present, bounds, keys, [value])
         .groupBy(*keys, F.when(enclosed, v).alias("_value"), gap.alias("_gap"))

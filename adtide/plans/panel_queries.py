@@ -209,13 +209,13 @@ top AS (
 )
 
 
-@query(_STOCK + "SELECT panel_id, channel, week, round(adstock / top, 9) AS adstock_share FROM top")
+@query(_STOCK + "SELECT panel_id, channel, week, round(adstock / top, 8) AS adstock_share FROM top")
 def adstock_geometric(spark: SparkSession, sf_dir: str) -> DataFrame:
     stocked = carryover.adstock_geometric(
         src.media_panel(spark, sf_dir), src.channel_params(spark), keep=["week", "spend"]
     )
     top = F.greatest(F.max("adstock").over(series_window()), F.lit(1.0))
-    return stocked.select(*KEY, F.round(F.col("adstock") / top, 9).alias("adstock_share"))
+    return stocked.select(*KEY, F.round(F.col("adstock") / top, 8).alias("adstock_share"))
 
 
 _LAGS = ", ".join(

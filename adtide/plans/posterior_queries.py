@@ -280,7 +280,7 @@ def predictive_band(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     S
-    + """SELECT panel_id, scenario_id, channel, round(m * spend_total, 3) AS selected_eur,
+    + """SELECT panel_id, scenario_id, channel, round(m * spend_total, 6) AS selected_eur,
     round(m * spend_total / sum(m * spend_total) OVER w * 100, 8) AS selected_pct,
     round((sum(m * spend_total) OVER w - sum(spend_total) OVER w) / sum(spend_total) OVER w * 100, 8) + 0.0
       AS drift_pct
@@ -291,7 +291,7 @@ def scenario_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = allocation.scenario_budget(totals, src.scenarios(spark))
     return out.select(
         "panel_id", "scenario_id", "channel",
-        *rounded(3, "selected_eur"), *rounded(8, "selected_pct"),
+        *rounded(6, "selected_eur"), *rounded(8, "selected_pct"),
         (F.round("drift_pct", 8) + 0.0).alias("drift_pct"),
     )
 

@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def read_partitioned(spark: SparkSession, root: str) -> DataFrame:
@@ -19,11 +18,8 @@ def read_first_parts(spark: SparkSession, root: str, day: str, n: int | None = 2
 
     Only the file listing of that day reaches the driver, as in any file scan.
     """
-    folder = spark.read.parquet(root).where(F.col("day") == F.lit(day).cast("date"))
-    paths = sorted(p for p in folder.inputFiles() if f"/day={day}/" in p and p.endswith(".parquet"))
-    if not paths:
-        raise FileNotFoundError(f"no part files for day={day} under {root}")
-    return spark.read.option("basePath", root).parquet(*(paths if n is None else paths[:n]))
+    files = sorted(spark.read.parquet(f"{root}/day={day}").inputFiles())
+    return spark.read.option("basePath", root).parquet(*(files if n is None else files[:n]))
 
 
 def spread_rows(df: DataFrame, key: list[str]) -> DataFrame:
