@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import re
 import tempfile
 import uuid
 
@@ -50,14 +52,53 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True)
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under ``spark.checkpoint.dir``; a local one only where that is unset."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
-        "spark.checkpoint.dir", None
+_STAGED: list[str] = []
+
+
+def _shared_base(spark: SparkSession) -> str:
+    """The configured checkpoint folder; in local mode only, one of our own where none is set."""
+    context = spark.sparkContext
+    base = (
+        context.getConf().get("spark.checkpoint.dir")
+        or spark.conf.get("spark.checkpoint.dir", None)
+        or context.getCheckpointDir()
     )
-    if not base:
-        base = tempfile.mkdtemp(prefix="adtide-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if base:
+        return base
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="adtide-"))
+    return context.getCheckpointDir()
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder; it is deleted when the driver ends.
+
+    The folder is ``spark.checkpoint.dir`` or what ``setCheckpointDir`` was given. On a cluster
+    without either this is an error: a machine-local folder would silently lose rows.
+    """
+    path = f"{_shared_base(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if not _STAGED:
+        atexit.register(release_scratch, spark)
+    _STAGED.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the folders that ``scratch_path`` gave out; tables read from them are gone then.
+
+    A job calls it when its results are written. Returns how many folders were there.
+    """
+    found = 0
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        while _STAGED:
+            path = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+            found += path.getFileSystem(conf).delete(path, True)
+    except Exception:  # noqa: BLE001  the session has ended; the folder's owner cleans up
+        _STAGED.clear()
+    return found
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
