@@ -26,8 +26,8 @@ from adtide.sources.files import stage
 LABELLED = 40_000
 LEXICON = 2_000
 SHORTEST, LONGEST = 4, 10
-MIN_DOCS = 12
-MIN_CONTEXTS = 10
+MIN_DOCS = 6
+MIN_CONTEXTS = 5
 MIN_WEIGHT = 3.0
 EXCEPTION_DOCS = 5
 
