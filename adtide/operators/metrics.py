@@ -6,13 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clip, safe_ratio
-from .ordered import SPLITS, running_totals
+from .ordered import running_totals
 
 EPS = 1e-12
 
 
 def confusion_by_score(
-    df: DataFrame, label: str = "label", score: str = "score", splits: int = SPLITS
+    df: DataFrame, label: str = "label", score: str = "score", splits: int | None = None
 ) -> DataFrame:
     """One row per distinct score, highest first in meaning: positives and negatives at the score,
     counted from the top (``tp``, ``fp``) and in total. Tied scores are one row."""

@@ -12,10 +12,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SPLITS = 64
 ACCURACY = 10_000
 WIDE = 0.005
-SALTS = 16  # a power of two
+
+
+def partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def spread_join(
@@ -24,14 +26,14 @@ def spread_join(
     on: list[str],
     spread_by: list[str],
     how: str = "inner",
-    salts: int = SALTS,
 ) -> DataFrame:
     """Equi-join where ``small`` has one row per key and a key of ``big`` may be hot.
 
-    Rows of ``big`` are spread over ``salts`` copies of the small row, so that a hot key never
-    lands in one task. Whether ``small`` is broadcast is left to the optimiser, which knows its
+    Rows of ``big`` are spread over as many copies of the small row as there are shuffle partitions,
+    so that a hot key never lands in one task on any cluster. Whether ``small`` is broadcast is left to the optimiser, which knows its
     size.
     """
+    salts = 1 << (partitions(big) - 1).bit_length()  # a power of two
     # a bit mask is never null, unlike a remainder, so the key adds no null test to the plan below
     salted = big.withColumn("_salt", F.xxhash64(*spread_by).bitwiseAND(F.lit(salts - 1)))
     copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
@@ -39,7 +41,7 @@ def spread_join(
 
 
 def running_totals(
-    df: DataFrame, keys: list[str], value: str, sums: list[str], splits: int = SPLITS,
+    df: DataFrame, keys: list[str], value: str, sums: list[str], splits: int | None = None,
     descending: bool = False,
 ) -> DataFrame:
     """One row per (keys, value) with ``s``, ``s_cum`` and ``s_total`` for each column in ``sums``.
@@ -50,6 +52,7 @@ def running_totals(
     window) from one shuffle: all three readers keep the same columns, which lets Spark reuse the
     exchange.
     """
+    splits = splits or max(16, 2 * partitions(df))
     merged = df.groupBy(*keys, value).agg(*[F.sum(s).alias(s) for s in sums])
     present = reduce(lambda a, b: a & b, [F.col(s).isNotNull() for s in sums])
     probs = [i / splits for i in range(1, splits)]
@@ -93,13 +96,13 @@ def exact_quantiles(
     """Linear-interpolation quantiles per group, plus ``mean``, ``n`` and the sums of ``totals``.
 
     ``probs`` maps an output name to a probability. A sketch, whose rank error is at most
-    rows / accuracy, first gives values that enclose each wanted rank by at least four ranks: a
-    share of ``WIDE`` on either side, in groups above ``accuracy`` rows only 4 / accuracy, and all
-    of a group too small for either. Then the rows outside the enclosures are counted into one row
-    per gap, before the shuffle, and only enclosed values, merged when equal, are put in order. A
-    rank that fell into a gap would raise an error rather than give a wrong value.
+    rows / accuracy, gives values around each wanted rank: a narrow enclosure of 4 / accuracy of the
+    rows on either side and one of ``WIDE``. One aggregate counts the rows below and up to each, and
+    the tightest that is shown to hold the rank is taken, in groups of any size; where neither does
+    (in groups of a few hundred rows) the whole group is. Then the rows outside are counted into one
+    row per gap, before the shuffle, and only enclosed values, merged when equal, are put in order.
 
-    The input is read twice; stage it where it is expensive.
+    The input is read three times; stage it where it is expensive.
     """
     totals = totals or []
     v = F.col(value)
@@ -112,18 +115,26 @@ def exact_quantiles(
         F.percentile_approx(value, points, accuracy).alias("_bounds"),
         F.count("*").alias("_rows"),
     )
-    large, small = F.col("_rows") > accuracy, F.col("_rows") < 4 / wide
     at_point = lambda i: F.col("_bounds")[i]
-    pairs = [
-        (
-            F.when(large, at_point(i + 1)).otherwise(at_point(i)),
-            F.when(large, at_point(i + 2)).otherwise(at_point(i + 3)),
-        )
-        for i in range(0, len(points), 4)
-    ]
-    enclosed = reduce(lambda a, b: a | b, [small, *((v >= lo) & (v <= hi) for lo, hi in pairs)])
+    tries = {f"{i}{kind}": (at_point(4 * i + a), at_point(4 * i + b)) for i in range(len(probs)) for kind, a, b in (("n", 1, 2), ("w", 0, 3))}
+    counted = (
+        spread_join(present, bounds, keys, [value])
+        .groupBy(*keys, "_bounds", "_rows")
+        .agg(*[c for k, (lo, hi) in tries.items() for c in (F.count_if(v < lo).alias(f"_b{k}"), F.count_if(v <= hi).alias(f"_u{k}"))])
+    )
+    chosen, names = [], []
+    for i, p in enumerate(probs.values()):
+        pos = F.lit(p) * (F.col("_rows") - 1)
+        holds = {k: (F.col(f"_b{i}{k}") <= F.floor(pos)) & (F.ceil(pos) < F.col(f"_u{i}{k}")) for k in "nw"}
+        for end in (0, 1):
+            names.append(f"_e{i}_{end}")
+            chosen.append(F.when(holds["n"], tries[f"{i}n"][end]).when(holds["w"], tries[f"{i}w"][end]).alias(names[-1]))
+    bounds = counted.select(*keys, *chosen)
+    pairs = [(F.col(f"_e{i}_0"), F.col(f"_e{i}_1")) for i in range(len(probs))]
+    whole = reduce(lambda a, b: a | b, [lo.isNull() for lo, _ in pairs])
+    enclosed = reduce(lambda a, b: a | b, [whole, *((v >= lo) & (v <= hi) for lo, hi in pairs)])
     above = reduce(lambda a, b: a + b, [(v > hi).cast("int") for _, hi in pairs])
-    gap = F.when(small, F.lit(0)).otherwise(above)
+    gap = F.when(whole, F.lit(0)).otherwise(above)
     compact = (
         spread_join(present, bounds, keys, [value])
         .groupBy(*keys, F.when(enclosed, v).alias("_value"), gap.alias("_gap"))
@@ -146,10 +157,7 @@ def exact_quantiles(
 
     def at(rank: Column) -> Column:
         holds = (F.col("_upto") - F.col("n") <= rank) & (rank < F.col("_upto"))
-        known = F.when(F.col("_low") == F.col("_high"), F.col("_low")).otherwise(
-            F.raise_error(F.lit("quantile outside its enclosure; raise the accuracy"))
-        )
-        return F.max(F.when(holds, known))
+        return F.max(F.when(holds, F.col("_low")))
 
     aggs = [
         F.max("_all").alias("n"),

@@ -26,9 +26,11 @@ def panel_window() -> WindowSpec:
 def densify(cells: DataFrame) -> DataFrame:
     """Every channel of a panel gets every week between the panel's first and last, zero-filled.
 
-    Weeks must start on the same weekday. Each series is gathered once and its gaps are filled in
+    Cells of the same week are summed. Weeks start seven days apart: a cell on another weekday is an
+    error, since moving it would change results without notice. Each series is gathered once and its gaps are filled in
     place, so the cells (a scan of the fact tables) are read once and joined to nothing.
     """
+    cells = cells.groupBy("panel_id", "channel", "week").agg(*[F.sum(m).alias(m) for m in MEASURES])
     packed = cells.groupBy("panel_id", "channel").agg(
         F.sort_array(F.collect_list(F.struct("week", *MEASURES))).alias("points")
     )
@@ -62,7 +64,9 @@ def densify(cells: DataFrame) -> DataFrame:
 
 
 def _weeks_between(start: Column, end: Column) -> Column:
-    return (F.datediff(end, start) / 7).cast("int")
+    days = F.datediff(end, start)
+    off = F.raise_error(F.concat(F.lit("cell is not a whole number of weeks after "), start.cast("string")))
+    return F.when(days % 7 == 0, (days / 7).cast("int")).when(days.isNotNull(), off.cast("int"))
 
 
 def weekly_totals(panel: DataFrame) -> DataFrame:

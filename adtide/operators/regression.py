@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 import sys
 from collections.abc import Iterator
@@ -56,29 +57,64 @@ def gram_long(df: DataFrame, key: str, xs: list[str], y: str) -> DataFrame:
     return moments(df, key, xs, y).select(key, F.inline(F.array(*structs)))
 
 
-def student_two_sided(t: np.ndarray, dof: int) -> np.ndarray:
-    """P(|T| > t) for an integer number of degrees of freedom (finite trigonometric series)."""
-    theta = np.arctan(np.abs(t) / math.sqrt(dof))
-    cos, sin = np.cos(theta), np.sin(theta)
-    odd = dof % 2
-    term = cos if odd else np.ones_like(cos)
-    total = np.zeros_like(cos)
-    for j in range(dof // 2):
-        total = total + term
-        term = term * cos**2 * (2 * j + 1 + odd) / (2 * j + 2 + odd)
-    inside = 2 / math.pi * (theta + sin * total) if odd else sin * total
-    return np.clip(1 - inside, 0.0, 1.0)
+def _beta_fraction(x: np.ndarray, a: float, b: float) -> np.ndarray:
+    """Continued fraction of the incomplete beta function by the modified Lentz method."""
+    tiny = 1e-300
+    c = np.ones_like(x)
+    d = 1 - (a + b) * x / (a + 1)
+    d = 1 / np.where(np.abs(d) < tiny, tiny, d)
+    value = d.copy()
+    for m in range(1, 500):
+        for step in (
+            m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
+            -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)),
+        ):
+            d = 1 + step * d
+            d = 1 / np.where(np.abs(d) < tiny, tiny, d)
+            c = 1 + step / c
+            c = np.where(np.abs(c) < tiny, tiny, c)
+            value = value * d * c
+        if np.all(np.abs(d * c - 1) < 1e-15):
+            break
+    return value
+
+
+def student_two_sided(t: np.ndarray, dof: float) -> np.ndarray:
+    """P(|T| > t): the regularised incomplete beta function I(dof/2, 1/2) at dof / (dof + t^2).
+
+    The cost does not depend on the degrees of freedom; from 10^7 on T is normal to 8 digits.
+    """
+    t = np.asarray(t, dtype=float)
+    if dof >= 1e7:
+        return np.vectorize(math.erfc, otypes=[float])(np.abs(t) / math.sqrt(2))
+    a, b = dof / 2, 0.5
+    x, y = dof / (dof + t * t), t * t / (dof + t * t)
+    front = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        weight = np.exp(front + a * np.log(x) + b * np.log(y))
+        low = weight * _beta_fraction(np.minimum(x, (a + 1) / (a + b + 2)), a, b) / a
+        high = 1 - weight * _beta_fraction(np.minimum(y, (b + 1) / (a + b + 2)), b, a) / b
+    return np.where(t == 0, 1.0, np.where(np.isnan(t), np.nan, np.clip(np.where(x < (a + 1) / (a + b + 2), low, high), 0.0, 1.0)))
 
 
-def student_quantile(p_two_sided: float, dof: int) -> float:
-    """t with P(|T| > t) = p, by bisection."""
+@functools.lru_cache(maxsize=1024)
+def student_quantile(p_two_sided: float, dof: float) -> float:
+    """t with P(|T| > t) = p, by Newton steps inside a shrinking bracket."""
     lo, hi = 0.0, 1.0
     while student_two_sided(np.array(hi), dof) > p_two_sided:
-        hi *= 2
-    for _ in range(200):
-        mid = (lo + hi) / 2
-        lo, hi = (mid, hi) if student_two_sided(np.array(mid), dof) > p_two_sided else (lo, mid)
-    return (lo + hi) / 2
+        lo, hi = hi, 2 * hi
+    front = math.lgamma((min(dof, 1e7) + 1) / 2) - math.lgamma(min(dof, 1e7) / 2) - 0.5 * math.log(min(dof, 1e7) * math.pi)
+    t = (lo + hi) / 2
+    for _ in range(60):
+        gap = float(student_two_sided(np.array(t), dof)) - p_two_sided
+        lo, hi = (t, hi) if gap > 0 else (lo, t)
+        density = math.exp(front - (min(dof, 1e7) + 1) / 2 * math.log1p(t * t / min(dof, 1e7)))
+        move = t + gap / (2 * density)
+        move = move if lo < move < hi else (lo + hi) / 2
+        if abs(move - t) < 1e-13 * t:
+            break
+        t = move
+    return t
 
 
 def ols_fit(df: DataFrame, key: str, xs: list[str], y: str) -> DataFrame:
@@ -86,7 +122,8 @@ def ols_fit(df: DataFrame, key: str, xs: list[str], y: str) -> DataFrame:
 
     The rows are reduced to moments in one grouped aggregate; only those (k+1)^2/2 numbers per key
     meet Python, in Arrow batches of many keys. Terms without variance get coefficient 0 and no
-    error; AIC and BIC count the coefficients, not the error variance.
+    error. AIC, BIC and degrees of freedom count the rank of the terms, so collinear ones count once,
+    and not the error variance.
     """
     k = len(xs) + 1
     upper = np.triu_indices(len(xs) + 1)
@@ -116,13 +153,14 @@ def _solve_one(n, means, covs, xs, upper, k) -> pd.DataFrame:
     scale = np.sqrt(np.diag(cov))
     live = np.flatnonzero(scale[:-1] > 0)
     s = scale[live]
-    inv = np.linalg.pinv(cov[np.ix_(live, live)] / np.outer(s, s)) / np.outer(s, s)
+    corr = cov[np.ix_(live, live)] / np.outer(s, s)
+    inv = np.linalg.pinv(corr, rcond=1e-12, hermitian=True) / np.outer(s, s)
     b = np.zeros(k - 1)
     b[live] = inv @ cov[live, -1]
     const = mean[-1] - b @ mean[:-1]
     sst = n * cov[-1, -1]
     sse = max(n * (cov[-1, -1] - b @ cov[:-1, -1]), 0.0)
-    params = live.size + 1
+    params = int(np.linalg.matrix_rank(corr, tol=1e-12 * live.size, hermitian=True)) + 1 if live.size else 1
     dof = int(n - params)
     s2 = sse / dof if dof > 0 else np.nan
     var = np.full(k, np.nan)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import clicks, metrics
@@ -151,23 +151,44 @@ def hash_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+def _vector_sql(ints: list[str]) -> str:
+    total = " + ".join(ints) or "0::DOUBLE"
+    return (
+        _CLEAN + f"SELECT {KEYS}, label, {len(ints) + 65536} AS dimension, round({total}, 6) AS int_sum,"
+        f" {len(CAT_COLS)}.0::DOUBLE AS hashed_sum FROM clean"
+    )
+
+
+@query(_vector_sql([]))
 def hash_features_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hashed categoricals of every row as one sparse vector."""
     table = clicks.feature_table(_clean(spark, sf_dir), [], CAT_COLS, [*ROW_KEY, "label"])
-    return _vector_columns(table)
+    return _vector_report(table, 0)
 
 
-@query()
+@query(_vector_sql(INT_COLS))
 def feature_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Integers and hashed categoricals of every row as one sparse vector."""
     table = clicks.feature_table(_clean(spark, sf_dir), INT_COLS, CAT_COLS, [*ROW_KEY, "label"])
-    return _vector_columns(table)
+    return _vector_report(table, len(INT_COLS))
 
 
-def _vector_columns(table: DataFrame) -> DataFrame:
-    """The vector as JSON text, so that the result has only plain column types."""
-    return table.select(*ROW_KEY, "label", F.to_json(F.struct("features")).alias("features"))
+def _vector_report(table: DataFrame, ints: int) -> DataFrame:
+    """Per row the vector's dimension, and the sums of its integer part and its hashed part, which
+    is the number of categoricals whether or not two of them meet in a bucket."""
+    parts = F.from_json(
+        F.to_json(F.struct("features")),
+        "features struct<size int, indices array<int>, values array<double>>",
+    )["features"]
+    pairs = F.arrays_zip(parts["indices"].alias("i"), parts["values"].alias("v"))
+
+    def total(keep) -> Column:
+        return F.aggregate(F.filter(pairs, keep), F.lit(0.0), lambda a, x: a + x["v"])
+
+    return table.select(
+        *ROW_KEY, "label", parts["size"].alias("dimension"),
+        F.round(total(lambda x: x["i"] < ints), 6).alias("int_sum"), total(lambda x: x["i"] >= ints).alias("hashed_sum"),
+    )
 
 
 @query(LOG + f"SELECT {KEYS}, label, {SPLIT_SQL} AS split FROM ad_log")
@@ -176,29 +197,19 @@ def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clicks.with_split(rows, src.row_bucket(100))
 
 
-_SAMPLE_ROWS = 10_000
-
-
-@query(
-    SCORED
-    + f"""SELECT {KEYS}, label, score FROM scores WHERE {sql_bucket(SPLIT_TEXT, 4294967296)}
-    < least(1, {_SAMPLE_ROWS} / (SELECT count(*) FROM scores)) * 4294967296"""
-)
-def bounded_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clicks.bounded_sample(src.scored_rows(spark, sf_dir), src.row_bucket, _SAMPLE_ROWS)
-
-
 # ------------------------------------------------------------------ model and metrics
 
 
-@query()
+@query(LOG + f"SELECT {KEYS}, label, true AS is_probability FROM ad_log WHERE {SPLIT_SQL} = 'test'")
 def ctr_model_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train on the train part of the stored features, score the test part."""
     split = clicks.with_split(spread_rows(_clean(spark, sf_dir), ROW_KEY), src.row_bucket(100))
     features = clicks.feature_table(split, INT_COLS, CAT_COLS, [*ROW_KEY, "label", "split"])
     stored = write_parquet(features, scratch_path(spark, "features"), ["split"], gather=False)
     model = clicks.fit_click_model(stored.where(F.col("split") == "train"))
-    return clicks.score_rows(model, stored.where(F.col("split") == "test"), [*ROW_KEY, "label"])
+    scored = clicks.score_rows(model, stored.where(F.col("split") == "test"), [*ROW_KEY, "label"])
+    inside = (F.col("score") > 0) & (F.col("score") < 1)
+    return scored.select(*ROW_KEY, "label", inside.alias("is_probability"))
 
 
 _CONF = (

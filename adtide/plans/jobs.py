@@ -9,17 +9,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import md5_bucket
-from ..operators import allocation, clicks, metrics, panel, posterior, regression, sampler
+from ..operators import allocation, clicks, metrics, panel, posterior, regression
 from ..sources import spread_rows, write_csv, write_parquet
 
 
 def media_job(
-    cells: DataFrame, params: DataFrame, channels: list[str], out: str,
-    chains: int = sampler.CHAINS, tune: int = sampler.TUNE, draws: int = sampler.DRAWS,
+    cells: DataFrame, params: DataFrame, channels: list[str], draws: DataFrame,
+    draws_global: DataFrame, divergences: DataFrame, out: str,
 ) -> dict[str, DataFrame]:
-    """From media cells to ROI, allocation and uplift tables under ``out``, for all panels at once.
+    """From media cells and posterior draws to ROI, allocation and uplift tables under ``out``.
 
-    Returns the stored tables by name; ``roi`` and ``allocation`` are also written as CSV.
+    ``draws`` has (panel_id, chain, draw, channel, decay, sat_k, beta), ``draws_global`` the shared
+    parameters of each draw, ``divergences`` their number for each panel; any sampler may have made
+    them. All panels are handled at once. Returns the stored tables by name; ``roi`` and
+    ``allocation`` are also written as CSV.
     """
     def keep(name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
         return write_parquet(df, f"{out}/{name}", partition_by)
@@ -42,21 +45,11 @@ def media_job(
     tables["contributions"] = contribs
 
     series = keep("series", panel.pack_series(dense))
-    weekly = panel.weekly_totals(dense)
-    scaled = panel.scale_by_mean(weekly).select("panel_id", "t", "scaled")
-    terms = panel.calendar_terms(weekly).join(scaled, ["panel_id", "t"])
-    sampled = keep(
-        "draws",
-        sampler.posterior_draws(sampler.panel_inputs(series, terms), chains, tune, draws)
-        .withColumn("bucket", F.pmod(F.hash("panel_id"), F.lit(64))),
-        ["bucket"],
-    )
-    per_channel, shared = sampler.channel_draws(sampled), sampler.global_draws(sampled)
+    bucket = F.pmod(F.hash("panel_id"), F.lit(64))
+    per_channel = keep("draws", draws.withColumn("bucket", bucket), ["bucket"]).drop("bucket")
+    shared = keep("draws_global", draws_global.withColumn("bucket", bucket), ["bucket"]).drop("bucket")
     rhat = posterior.split_rhat(posterior.long_parameters(per_channel, shared))
-    divergent = sampled.groupBy("panel_id").agg(
-        F.count_if("diverging").alias("divergences")
-    )
-    tables["convergence"] = keep("convergence", posterior.convergence_verdict(rhat, divergent))
+    tables["convergence"] = keep("convergence", posterior.convergence_verdict(rhat, divergences))
     roi_draws = keep("roi_draws", posterior.roi_by_draw(per_channel, series))
     tables["roi"] = keep("roi", posterior.posterior_roi(roi_draws, series))
 

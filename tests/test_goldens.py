@@ -1,8 +1,9 @@
 """The weekly advertiser file: published results and values recomputed from it."""
 
-import glob
+import datetime
 import math
 import os
+import time
 
 import numpy as np
 import pytest
@@ -10,7 +11,6 @@ from pyspark.sql import functions as F
 
 from adtide.operators import allocation, panel, regression
 from adtide.operators.regression import student_quantile, student_two_sided
-from adtide.operators.sampler import log_density
 from adtide.plans.inputs import values_table
 from adtide.plans.jobs import media_job
 from adtide.sources import read_weekly_csv, weekly_cells
@@ -18,19 +18,9 @@ from adtide.sources.weekly import WEEKLY_SCHEMA
 
 
 
-def weekly_file() -> str:
-    """WEEKLY_CSV, or the first CSV in a data folder two levels below /root with the weekly header."""
-    if "WEEKLY_CSV" in os.environ:
-        return os.environ["WEEKLY_CSV"]
-    for path in sorted(glob.glob("/root/*/*/data/*.csv")):
-        with open(path) as f:
-            if f.readline().replace('"', "").strip().split(",") == WEEKLY_SCHEMA.names:
-                return path
-    return ""
-
-
-WEEKLY = weekly_file()
-needs_file = pytest.mark.skipif(not os.path.exists(WEEKLY), reason="weekly file not present")
+# The published numbers need the advertiser's own file.
+WEEKLY = os.environ.get("WEEKLY_CSV", "")
+needs_file = pytest.mark.skipif(not os.path.exists(WEEKLY), reason="WEEKLY_CSV is not set")
 
 # Channel, decay, alpha, k_pct.
 PARAMS = [
@@ -40,11 +30,71 @@ PARAMS = [
 CHANNELS = [p[0] for p in PARAMS]
 
 
+WEEKS = 104
+
+
+@pytest.fixture(scope="module")
+def made_csv(tmp_path_factory):
+    """A weekly file with known effects: revenue is a base plus 3 EUR for each EUR on search."""
+    rng = np.random.default_rng(11)
+    names = WEEKLY_SCHEMA.names
+    path = tmp_path_factory.mktemp("weekly") / "made.csv"
+    with open(path, "w") as f:
+        f.write(",".join(names) + "\n")
+        for t in range(WEEKS):
+            spend = {f"{c}_S": round(float(rng.gamma(2, 1000)) * (rng.random() < 0.7), 2) for c in CHANNELS}
+            day = np.datetime64("2018-01-01") + 7 * t
+            row = {"DATE": day, "revenue": 100_000 + 3 * spend["search_S"], "competitor_sales_B": 5_000_000 + 1000 * t, "events": "na", **spend}
+            f.write(",".join(str(row.get(n, 0)) for n in names) + "\n")
+    return str(path)
+
+
+def closed_draws(spark, n=200):
+    """Draws around known values, two chains that agree, and one channel with the largest effect."""
+    base = spark.range(2 * n).select(
+        F.lit("advertiser").alias("panel_id"), (F.col("id") % 2).cast("int").alias("chain"), F.floor(F.col("id") / 2).cast("int").alias("draw"),
+        ((F.col("id") * 37) % 101 / 1000).alias("e"),
+    )
+    channels = values_table(spark, "channel, decay0, beta0", [(c, 0.1 * i + 0.1, 0.02 + 0.1 * (c == "search")) for i, c in enumerate(CHANNELS)])
+    draws = base.join(channels).select(
+        "panel_id", "chain", "draw", "channel", (F.col("decay0") + F.col("e")).alias("decay"), (0.5 + F.col("e")).alias("sat_k"), (F.col("beta0") + F.col("e") / 10).alias("beta"),
+    )
+    shared = base.select("panel_id", "chain", "draw", (0.9 + F.col("e")).alias("intercept"), (0.1 + F.col("e")).alias("sigma"))
+    return draws, shared
+
+
+@pytest.fixture(scope="module")
+def made(spark, made_csv, tmp_path_factory):
+    cells = weekly_cells(read_weekly_csv(spark, made_csv))
+    params = values_table(spark, "channel, decay, alpha, k_pct", PARAMS)
+    draws, shared = closed_draws(spark)
+    divergences = values_table(spark, "panel_id, divergences", [("advertiser", 3)])
+    out = str(tmp_path_factory.mktemp("made"))
+    return media_job(cells, params, CHANNELS, draws, shared, divergences, out) | {"out": out}
+
+
+def test_media_job_on_a_made_file(spark, made):
+    fit = by(made["naive_fit"], "term")
+    assert fit["spend_search"]["coef"] == pytest.approx(3, rel=1e-6) and fit["const"]["coef"] == pytest.approx(100_000, rel=1e-6)
+    assert fit["spend_tv"]["coef"] == pytest.approx(0, abs=1e-6)
+    check = made["convergence"].first()
+    assert check["converged"] and check["divergences"] == 3
+    roi = by(made["roi"], "channel")
+    assert set(roi) == set(CHANNELS) and max(roi, key=lambda c: roi[c]["roi_mean"]) == "search"
+    assert all(r["roi_lo"] <= r["roi_mean"] <= r["roi_hi"] for r in roi.values())
+    assert set(by(made["allocation"], "channel")) == set(CHANNELS)
+    assert by(made["uplift"], "scenario_id")["recommended"]["mean"] > 0
+    assert spark.read.csv(f"{made['out']}/roi_csv", header=True).count() == 5
+    assert spark.read.parquet(f"{made['out']}/draws").count() == 400 * 5
+
+
 @pytest.fixture(scope="module")
 def tables(spark, tmp_path_factory):
     cells = weekly_cells(read_weekly_csv(spark, WEEKLY))
     params = values_table(spark, "channel, decay, alpha, k_pct", PARAMS)
-    return media_job(cells, params, CHANNELS, str(tmp_path_factory.mktemp("media")))
+    draws, shared = closed_draws(spark)
+    divergences = values_table(spark, "panel_id, divergences", [("advertiser", 3)])
+    return media_job(cells, params, CHANNELS, draws, shared, divergences, str(tmp_path_factory.mktemp("media")))
 
 
 def by(df, key):
@@ -88,25 +138,6 @@ def test_model_fit_roi_and_base(tables):
     assert base == pytest.approx(90.7132, abs=1e-4)
 
 
-@needs_file
-def test_posterior_roi_allocation_and_uplift(tables):
-    check = tables["convergence"].first()
-    assert check["max_rhat"] < 1.01 and check["divergences"] <= 20 and check["converged"]
-    want = {"tv": (6.97, 4.74, 9.62), "ooh": (0.79, 0.10, 1.74), "print": (9.57, 1.86, 18.92),
-            "facebook": (23.38, 5.07, 46.45), "search": (17.12, 1.66, 41.18)}
-    for channel, row in by(tables["roi"], "channel").items():
-        mean, lo, hi = want[channel]
-        assert row["roi_mean"] == pytest.approx(mean, rel=0.10)
-        assert row["roi_lo"] == pytest.approx(lo, rel=0.25, abs=0.15)
-        assert row["roi_hi"] == pytest.approx(hi, rel=0.25)
-    best = {c: r["multiplier"] for c, r in by(tables["allocation"], "channel").items()}
-    assert best == pytest.approx({"tv": 2, "ooh": 0.38373987, "print": 2, "facebook": 2, "search": 2}, abs=1e-6)
-    gain = by(tables["uplift"], "scenario_id")["recommended"]
-    assert gain["mean"] == pytest.approx(31.5e6, rel=0.05)
-    assert gain["lo"] == pytest.approx(15.6e6, rel=0.1) and gain["hi"] == pytest.approx(50.8e6, rel=0.1)
-    assert gain["p_gain"] == 1
-
-
 def test_student_distribution():
     # two-sided 5 percent points from standard tables
     for dof, t in ((1, 12.706205), (2, 4.302653), (10, 2.228139), (202, 1.971777)):
@@ -114,16 +145,33 @@ def test_student_distribution():
         assert student_two_sided(np.array(-t), dof) == pytest.approx(0.05, abs=1e-6)
 
 
-def test_sampler_gradient_matches_differences():
-    rng = np.random.default_rng(0)
-    lagged, controls = rng.random((3, 40, 8)), rng.normal(size=(40, 7))
-    y, q = rng.normal(1, 0.2, 40), rng.normal(0, 0.4, (2, 17))
-    _, grad = log_density(q, y, lagged, controls)
-    for i in range(17):
-        step = np.zeros((2, 17))
-        step[:, i] = 1e-6
-        diff = (log_density(q + step, y, lagged, controls)[0] - log_density(q - step, y, lagged, controls)[0]) / 2e-6
-        assert diff == pytest.approx(grad[:, i], rel=1e-4, abs=1e-4)
+def test_student_cost_does_not_grow():
+    start = time.perf_counter()
+    assert student_quantile(0.05, 10**8) == pytest.approx(1.959964, abs=1e-5)
+    assert student_quantile(0.05, 34_001) == pytest.approx(1.960028, abs=1e-5)
+    assert student_two_sided(np.array([0.0, 1.0, np.nan]), 5)[:2] == pytest.approx([1, 0.363217], abs=1e-5)
+    assert time.perf_counter() - start < 1
+
+
+def test_collinear_terms_count_once(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(60, 2))
+    rows = [("p", float(a), float(b), 2 * float(a), float(1 + a - b + e)) for (a, b), e in zip(x, rng.normal(size=60), strict=True)]
+    df = spark.createDataFrame(rows, "panel_id string, x1 double, x2 double, x3 double, y double")
+    full, less = (regression.ols_fit(df, "panel_id", xs, "y").where("term = 'x2'").first() for xs in (["x1", "x2", "x3"], ["x1", "x2"]))
+    for name in ("coef", "std_error", "r2", "adj_r2", "aic", "bic", "ci_lo"):
+        assert full[name] == pytest.approx(less[name], rel=1e-6)
+
+
+def test_densify_sums_and_refuses(spark):
+    schema = "panel_id string, channel string, week date, spend double, revenue double, competitor double"
+    day = lambda s: datetime.date.fromisoformat(s)
+    rows = [("p", "a", day("2020-01-06"), 1.0, 2.0, 0.0), ("p", "a", day("2020-01-06"), 3.0, 4.0, 0.0), ("p", "a", day("2020-01-20"), 5.0, 6.0, 0.0)]
+    got = panel.densify(spark.createDataFrame(rows, schema)).orderBy("t").collect()
+    assert [(r["spend"], r["n_weeks"]) for r in got] == [(4.0, 3), (0.0, 3), (5.0, 3)]
+    rows.append(("p", "a", day("2020-01-15"), 1.0, 1.0, 0.0))
+    with pytest.raises(Exception, match="whole number of weeks"):
+        panel.densify(spark.createDataFrame(rows, schema)).collect()
 
 
 def mean_rows(spark, rows):

@@ -13,7 +13,7 @@ def skewed():
     hot = pd.DataFrame({"k": "hot", "v": rng.lognormal(0, 3, 40_000)})
     ties = pd.DataFrame({"k": "ties", "v": np.repeat([1.0, 2.0, 2.0, 5.0], 2500)})
     small = pd.DataFrame({"k": [f"s{i}" for i in range(50)], "v": rng.normal(size=50)})
-    mid = pd.concat([pd.DataFrame({"k": f"m{n}", "v": rng.normal(size=n)}) for n in (5, 30, 199, 201, 799, 900)])
+    mid = pd.concat([pd.DataFrame({"k": f"m{n}", "v": rng.normal(size=n)}) for n in (5, 30, 199, 201, 700, 799, 900, 5000, 20_000)])
     pair = pd.DataFrame({"k": "pair", "v": [0.0, 1.0]})
     peak = pd.DataFrame({"k": "peak", "v": np.r_[np.full(9000, 3.0), rng.normal(3, 1e-6, 1000)]})
     return pd.concat([hot, ties, small, mid, pair, peak], ignore_index=True)
