@@ -7,6 +7,7 @@ continue, checks order and total length, and takes the chunked framing off the p
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 from collections.abc import Iterator
 
@@ -98,7 +99,7 @@ def write_archives(
     pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", body_col: str = "html",
     segment: int = SEGMENT,
 ) -> None:
-    """Write a record per row to WARC files under ``path``.
+    """Write a record per row to gzip-compressed WARC files under ``path``.
 
     Of rows with equal payloads of at least ``REVISIT_FROM`` bytes the one with the smallest id is
     the response and the others refer to it; a row without an id, or that repeats the smallest one,
@@ -122,7 +123,7 @@ def write_archives(
     (
         records.select(F.col("record").cast("string").alias("value"))
         .write.option("lineSep", "\r\n").option("maxRecordsPerFile", RECORDS_PER_FILE)
-        .mode("overwrite").text(path)
+        .mode("overwrite").text(path, compression="gzip")
     )
 
 
@@ -155,7 +156,7 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for content in batch.column(0):
             out = []
-            for h, block in parse_records(content.as_py()):
+            for h, block in parse_records(gzip.decompress(content.as_py())):
                 own = h[b"warc-record-id"]
                 out.append((
                     h.get(b"warc-segment-origin-id", own).decode(), number(h, b"warc-segment-number") or 1,
