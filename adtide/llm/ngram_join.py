@@ -327,15 +327,19 @@ def _ordered_sets(sets: DataFrame, percent: int) -> DataFrame:
     """(node, n, weight, prefix, grams): n-grams that other candidates have, rarest first.
 
     ``prefix`` is how many of them belong to the set's rarest n - least overlap + 1; the n-grams of
-    its own come before them. ``weight`` is how common the set's n-grams are on average.
+    its own come before them. ``weight`` is how common the set's n-grams are on average. A set that
+    is given twice stays one.
     """
-    grams = sets.select("node", "n", F.explode("grams").alias("gram"))
+    grams = sets.select("node", F.explode("grams").alias("gram"))
     shared = grams.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1")
-    kept = grams.join(shared, "gram").groupBy("node", "n").agg(
-        F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("g"), (F.sum("df") / F.max("n")).alias("weight")
-    )
+    kept = grams.join(shared, "gram").groupBy("node").agg(F.array_sort(F.collect_set(F.struct("df", "gram"))).alias("g"))
+    kept = kept.join(sets.select("node", "n").distinct(), "node")
     prefix = F.size("g") - least_overlap(F.col("n"), percent) + 1
-    return stage(kept.select("node", "n", "weight", prefix.alias("prefix"), F.col("g.gram").alias("grams")).where("prefix > 0"), "ordered_sets")
+    weight = F.aggregate("g.df", F.lit(0).cast("bigint"), lambda a, x: a + x) / F.col("n")
+    return stage(
+        kept.select("node", "n", weight.alias("weight"), prefix.alias("prefix"), F.col("g.gram").alias("grams")).where("prefix > 0"),
+        "ordered_sets",
+    )
 
 
 def similar_sets(sets: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
@@ -401,8 +405,9 @@ def near_duplicates(
     chosen = stage(_candidates(signed, percent), "candidates")
     named = chosen.withColumn("node", F.monotonically_increasing_id())
     named = stage(named, "nodes")
-    texts = rows.join(named.select("id", "hi", "node"), "id").select("node", "hi", "text")
-    sets = stage(texts.mapInArrow(_whole_sets(words), "node bigint, n bigint, grams array<bigint>").dropDuplicates(["node"]), "sets")
+    # candidates grow with the corpus, so they meet their texts by a shuffle at any size
+    texts = rows.join(named.select("id", "hi", "node").hint("merge"), "id").select("node", "hi", "text")
+    sets = stage(texts.mapInArrow(_whole_sets(words), "node bigint, n bigint, grams array<bigint>"), "sets")
     found = stage(similar_sets(sets, percent, block).join(named, "node").select("hi", "lo", "component", "id"), "found")
     least = found.groupBy("component").agg(F.min("id").alias("component_id"))
     by_set = signed.where("n > 0").groupBy("hi", "lo").agg(F.min("id").alias("first"))
