@@ -30,7 +30,7 @@ SEGMENT = 128
 CHUNK_WORDS = 1_000_000
 DISCOUNT = 0.5
 PRIOR = 0.01
-BATCH_WORDS = 200_000
+BATCH_WORDS = 100_000
 
 CHUNKS = (
     "chunk bigint, ids array<bigint>, learn array<boolean>, lengths binary, words binary, hashes binary, "
@@ -341,10 +341,10 @@ def _score(model: Hmm, n_train: int, n_types: int):
                 if row["at"] is not None:
                     if row["chunk"] != chunk:
                         chunk, answers = row["chunk"], []
-                    answers.append((np.frombuffer(row["at"], "<i4"), np.frombuffer(row["n"], "<i8"), np.frombuffer(row["share"], "<f8")))
+                    answers.append((np.frombuffer(row["at"], "<i4"), np.frombuffer(row["n"], "<i8"), np.frombuffer(row["share"], "<f4")))
                     continue
                 whole = batch.slice(k, 1).to_pylist()[0]
-                size = len(whole["hashes"]) // 8
+                size = len(whole["classes"]) // 4
                 count, share = np.zeros(size + 1), np.zeros(size)
                 if whole["chunk"] == chunk:
                     for at, n, q in answers:
@@ -366,7 +366,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(chunk[order][starts], pa.int64()),
-                *[pa.array([x.tobytes() for x in (np.split(v, cuts) if len(order) else [])], pa.binary()) for v in (at.astype("<i4"), n.astype("<i8"), share.astype("<f8"))],
+                *[pa.array([x.tobytes() for x in (np.split(v, cuts) if len(order) else [])], pa.binary()) for v in (at.astype("<i4"), n.astype("<i8"), share.astype("<f4"))],
             ],
             names=["chunk", "at", "n", "share"],
         )
@@ -407,7 +407,7 @@ def score_texts(
     answers = answers.mapInArrow(_pack, "chunk bigint, at binary, n binary, share binary")
     wide = chunks.select(
         "chunk", *[F.lit(None).cast("binary").alias(c) for c in ("at", "n", "share")], F.lit(n_end).cast("bigint").alias("n_end"),
-        *[c for c in chunks.columns if c != "chunk"],
+        "ids", "learn", "lengths", "words", "classes",
     )
     both = answers.unionByName(wide, allowMissingColumns=True)
     ordered = spread(both, "chunk").sortWithinPartitions("chunk", F.col("at").isNull())
