@@ -423,7 +423,8 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """The rows of ``docs`` with the smallest id of each group, with all their columns.
 
-    Texts without words and rows without an id stay; of rows that repeat an id and a set one stays.
+    Texts without words and rows without an id stay. Rows that repeat an id stay or go together, and stay
+    if any of them is its group's smallest; exact deduplication takes equal rows out before.
     """
     groups = near_duplicates(docs, id_col, text_col, words, percent)
     stay = groups.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_id")).distinct()
