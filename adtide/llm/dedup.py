@@ -128,14 +128,16 @@ def exact_duplicates(
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns.
+    """The rows of ``docs`` that stay, with all their columns, whatever their names.
 
     Where an id is repeated on rows with different texts, the rows are told apart by their text.
     """
-    mine = docs.withColumn("_sha", F.sha2(normal_text(F.col(text_col)), 256))
+    mine = docs.select(
+        F.struct("*").alias("doc"), F.col(id_col).alias("id"), F.sha2(normal_text(F.col(text_col).cast("string")), 256).alias("sha")
+    )
     stay = exact_duplicates(docs, id_col, text_col).where("kept").select(
-        F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha")
+        F.col(id_col).alias("keep"), F.col("text_sha256").alias("keep_sha")
     )
-    kept = mine.join(stay, (mine[id_col].eqNullSafe(stay["_id"])) & (mine["_sha"] == stay["_sha"]), "left_semi")
+    kept = mine.join(stay, F.col("id").eqNullSafe(F.col("keep")) & (F.col("sha") == F.col("keep_sha")), "left_semi")
     # rows repeating both id and text are one document
-    return kept.dropDuplicates([id_col, "_sha"]).drop("_sha")
+    return kept.dropDuplicates(["id", "sha"]).select("doc.*")

@@ -10,6 +10,7 @@ from adtide.sources.files import stage
 
 MAX_RATE = 3
 WEIGHTS = 3
+PLANNED = ["_size", "_source_size", "_target", "_copies"]
 
 
 def uniform(key: Column, seed: int = 0) -> Column:
@@ -46,29 +47,32 @@ def mixing_plan(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     seed: int = 0, max_rate: int = MAX_RATE,
 ) -> DataFrame:
-    """All rows and columns of ``docs`` with ``_size, _source_size, _target, _copies``.
+    """All rows and columns of ``docs`` with ``_size, _source_size, _target, _copies``, which take the
+    place of columns with these names.
 
     ``_copies`` is the whole part of target / source size, plus one where the id's hash falls
     below the fraction. A source without words has target 0 and no copies. Null text has size 0.
     """
-    sized = docs.withColumn("_size", word_count(text_col))
-    targets = stage(
-        source_targets(sized.select(F.col(source_col).alias("source"), F.col("_size").alias("size")), max_rate),
-        "targets",
-    ).select(
-        F.col("source").alias("_source"), F.col("source_size").alias("_source_size"), F.col("target").alias("_target")
+    # the row travels as one column, so none of its names can meet those of the plan
+    sized = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in PLANNED]).alias("doc"), word_count(text_col).alias("size"),
+        F.col(source_col).alias("of"), uniform(F.col(id_col), seed).alias("draw"),
     )
-    rate = F.least(F.coalesce(F.try_divide("_target", "_source_size"), F.lit(0.0)), F.lit(float(max_rate)))
+    targets = stage(source_targets(sized.select(F.col("of").alias("source"), "size"), max_rate), "targets")
+    rate = F.least(F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0)), F.lit(float(max_rate)))
     whole = F.floor(rate)
-    copies = (whole + (uniform(F.col(id_col), seed) < rate - whole).cast("bigint")).cast("bigint")
-    same = F.col(source_col).eqNullSafe(F.col("_source"))
-    return sized.join(targets, same).drop("_source").withColumn("_copies", copies)
+    copies = (whole + (F.col("draw") < rate - whole).cast("bigint")).cast("bigint")
+    planned = [F.col(c).alias(n) for c, n in zip(("size", "source_size", "target"), PLANNED)]
+    return sized.join(targets, F.col("of").eqNullSafe(F.col("source"))).select("doc.*", *planned, copies.alias("_copies"))
 
 
 def mix_sources(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 0
 ) -> DataFrame:
-    """``docs`` with each row repeated as often as the mix takes it; the columns stay."""
-    planned = mixing_plan(docs, id_col, text_col, source_col, seed).where("_copies > 0")
+    """``docs`` with each row repeated as often as the mix takes it; all columns stay, whatever their names."""
+    whole = docs.select(
+        F.struct("*").alias("doc"), F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(source_col).alias("source")
+    )
+    planned = mixing_plan(whole, "id", "text", "source", seed).where("_copies > 0")
     copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))
-    return planned.withColumn("_copy", copies).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return planned.select("doc", copies.alias("copy")).select("doc.*")

@@ -32,7 +32,7 @@ def odd(spark):
     from pyspark.sql import functions as F
 
     df = spark.createDataFrame(ODD, "doc_id bigint, text string, lang string, source string")
-    extra = {"n": 1, "name": 2, "row": 3, "size": 4, "id": 5, "label": 6, "kept": 7, "chunk": 8, "_size": 9, "score": 10, "node": 11}
+    extra = {"n": 1, "name": 2, "row": 3, "size": 4, "id": 5, "label": 6, "kept": 7, "chunk": 8, "_size": 9, "score": 10, "node": 11, "_sha": 12, "_source": 13, "_id": 14, "doc": 15, "sha": 16, "copy": 17, "target": 18, "of": 19}
     return df.select("*", *[F.lit(v).alias(k) for k, v in extra.items()]).repartition(3)
 
 
