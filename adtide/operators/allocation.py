@@ -27,16 +27,13 @@ def _fill(means: DataFrame, steps: int) -> DataFrame:
     """Take steps between ``lo`` and ``hi`` in order of revenue per EUR until the panel's budget is
     spent, the last one in part. Revenue is concave in m, so a channel's steps come in order."""
     width = (F.col("hi") - F.col("lo")) / steps
-    grid = means.select("*", F.explode(F.sequence(F.lit(0), F.lit(steps - 1))).alias("step"))
     at = lambda s: mean_revenue(F.col("lo") + s * width)
     cost = F.col("cost")
-    gains = grid.select(
-        "panel_id",
-        "channel",
-        "step",
-        "free",
-        (width * F.col("spend_total")).alias("cost"),
-        (at(F.col("step") + 1) - at(F.col("step"))).alias("gain"),
+    # each grid point is evaluated once; a step's gain is the difference of its ends
+    worth = means.select("*", F.transform(F.sequence(F.lit(0), F.lit(steps)), at).alias("_worth"))
+    gain = F.zip_with(F.slice("_worth", 2, steps), F.slice("_worth", 1, steps), lambda end, start: end - start)
+    gains = worth.select(
+        "panel_id", "channel", "free", (width * F.col("spend_total")).alias("cost"), F.posexplode(gain).alias("step", "gain")
     )
     order = panel_window().orderBy((F.col("gain") / cost).desc(), "channel", "step")
     before = F.sum(cost).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - cost

@@ -184,6 +184,17 @@ def _solve_one(n, means, covs, xs, upper, k) -> pd.DataFrame:
     )
 
 
+def residuals(df: DataFrame, fit: DataFrame, key: str, xs: list[str], y: str) -> DataFrame:
+    """``df`` with ``fitted`` and ``residual`` under the coefficients that ``ols_fit`` gave its key.
+
+    The coefficients meet the rows as one map per key; rows whose key has no fit are left out.
+    """
+    coefs = fit.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("term", "coef"))).alias("_coefs"))
+    fitted = sum((F.col("_coefs")[x] * F.col(x) for x in xs), F.col("_coefs")["const"])
+    out = df.join(coefs, key).withColumn("fitted", fitted)
+    return out.withColumn("residual", F.col(y) - F.col("fitted")).drop("_coefs")
+
+
 def significant(p_value: Column, level: float = 0.05) -> Column:
     return p_value < level
 

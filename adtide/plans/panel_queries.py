@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import clip, exponential_saturation, fourier_terms, hill_saturation, safe_ratio
 from ..operators import carryover, panel, regression
 from ..operators.panel import panel_window, series_window
+from ..sources.files import stage
 from . import inputs as src
 from .inputs import CHANNEL_NAMES, SQL_PANEL
 from .registry import query, rounded
@@ -637,3 +638,64 @@ def mmm_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Regression on the transformed design: coefficients and fit per panel."""
     fit = regression.ols_fit(_design(spark, sf_dir), "panel_id", _TERMS, "revenue")
     return fit.select("panel_id", "term", *rounded(1, "coef"), *rounded(7, "r2"))
+
+
+# the whole chain: design, fit, contributions and ROI with the panel's own coefficients
+
+_FITTED = (
+    _CONTRIB.rstrip()
+    .replace("\nlong AS (", _ols_ctes(_TERMS, "design").strip()[1:].rstrip() + ",\nlong AS (", 1)
+    .replace("JOIN coefs USING (term)", "JOIN ols USING (panel_id, term)")
+    + "\n"
+)
+
+
+def _fitted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    design = stage(_design(spark, sf_dir), "design")
+    fit = regression.ols_fit(design, "panel_id", _TERMS, "revenue").select("panel_id", "term", "coef")
+    return regression.contributions(design, fit, CHANNEL_NAMES, on=["panel_id", "term"])
+
+
+@query(_FITTED + "SELECT panel_id, week, component, round(contribution, 0) + 0.0 AS contribution FROM contrib")
+def fitted_contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contributions per week under the coefficients fitted on the panel's design."""
+    return _fitted(spark, sf_dir).select(
+        "panel_id", "week", "component", (F.round("contribution", 0) + 0.0).alias("contribution")
+    )
+
+
+@query(
+    _FITTED
+    + """SELECT panel_id, component AS channel, round(sum(spend), 4) AS spend,
+    round(coalesce(sum(contribution) / nullif(sum(spend), 0), 0), 5) AS roi
+    FROM contrib WHERE component <> 'base' GROUP BY ALL"""
+)
+def fitted_roi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ROI per channel under the fitted coefficients."""
+    return regression.channel_roi(_fitted(spark, sf_dir)).select(
+        "panel_id", "channel", *rounded(4, "spend"), *rounded(5, "roi")
+    )
+
+
+_NAIVE_FITTED = " + ".join(f"max(coef) FILTER (term = '{c}') * any_value({c})" for c in CHANNEL_NAMES)
+
+
+@query(
+    _WIDE.rstrip()
+    + _ols_ctes().rstrip()
+    + f""", resid AS (
+    SELECT panel_id, week, any_value(revenue) - max(coef) FILTER (term = 'const') - ({_NAIVE_FITTED}) AS residual
+    FROM wide JOIN ols USING (panel_id) GROUP BY panel_id, week
+    ), steps AS (SELECT *, lag(residual) OVER (PARTITION BY panel_id ORDER BY week) AS prev FROM resid)
+    SELECT panel_id, round(sum((residual - prev) ** 2) / sum(residual ** 2), 8) AS durbin_watson,
+    round(corr(residual, prev), 8) AS lag1_corr FROM steps GROUP BY panel_id"""
+)
+def naive_durbin_watson(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Durbin-Watson and lag-1 correlation of the naive fit's own residuals."""
+    rows = stage(_naive_rows(spark, sf_dir), "naive_rows")
+    fit = regression.ols_fit(rows, "panel_id", CHANNEL_NAMES, "revenue")
+    left = regression.residuals(rows, fit, "panel_id", CHANNEL_NAMES, "revenue")
+    stats = regression.fit_stats(
+        left.select("panel_id", F.col("week").alias("t"), F.col("revenue").alias("actual"), "residual"), params=_PARAMS
+    )
+    return stats.select("panel_id", *rounded(8, "durbin_watson", "lag1_corr"))
