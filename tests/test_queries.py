@@ -32,7 +32,22 @@ def test_entry_has_rows(spark):
     assert entry.entry(spark).count() == 25
 
 
-@pytest.mark.parametrize("name", sorted(set(ORACLES) - {"ols_fit", "roi_compare"}))
+#: Queries with the k x k solve of the regression, the one place with Python.
+SOLVED = {"ols_fit", "roi_compare", "ols_summary", "mmm_fit", "fitted_contributions", "fitted_roi", "naive_durbin_watson"}
+
+
+@pytest.mark.parametrize("name", sorted(SOLVED))
+def test_python_only_solves_moments(spark, name):
+    """One Python node, fed by an aggregate, and no cross join."""
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    nodes = plan[: plan.index("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
+    assert len(re.findall(r"(?:MapInPandas|MapInArrow|EvalPython)", nodes)) == 1
+    after = nodes[nodes.index("MapInPandas") :]
+    assert "Aggregate(keys=[panel_id" in after
+    assert not re.search(r"CartesianProduct|BroadcastNestedLoop", plan)
+
+
+@pytest.mark.parametrize("name", sorted(set(ORACLES) - SOLVED))
 def test_no_python_and_no_cross_join(spark, name):
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not re.search(r"Python|Pandas|CartesianProduct|BroadcastNestedLoop", plan)
