@@ -198,8 +198,9 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             page = page.as_py() or ""
             tokens, blocks = parse_page(page)
             out["host"].append(host_of(url))
-            out["page"].append(xxhash.xxh3_128_digest(page.encode("utf-8", "surrogatepass")))
-            out["tokens"].append(np.array(tokens, dtype="<i8").tobytes())
+            blob = np.array(tokens, dtype="<i8").tobytes()
+            out["page"].append(xxhash.xxh3_128_digest(blob))
+            out["tokens"].append(blob)
             for k, v in zip(("at", "own", "part", "linked", "texts"), list(zip(*blocks, strict=True)) or [()] * 5, strict=True):
                 out[k].append(list(v))
         kinds = [pa.string(), pa.binary(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.string())]
@@ -261,12 +262,13 @@ def _orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def host_templates(parsed: DataFrame) -> DataFrame:
     """``host, members, classes, share, pages``: the template tokens of each host, one row per host.
 
-    Every task sums the occurrence vectors of its pages first, so a host of any size is spread; what
-    is left per host is bounded by the tokens that at least half of its pages have.
+    Pages of a host with the same tokens in the same order are copies and count as one page. Every
+    task sums the occurrence vectors of its pages first, so a host of any size is spread; what is
+    left per host is bounded by the tokens that at least half of its pages have.
     """
-    per_host = parsed.groupBy("host").agg(F.count("*").alias("host_pages"))
+    per_host = parsed.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("host_pages"))
     vectors = (
-        parsed.select("host", "page", "tokens").mapInArrow(_occurrences, "host string, token bigint, pages bigint, vector bigint")
+        parsed.select("host", "page", "tokens").dropDuplicates(["host", "page"]).mapInArrow(_occurrences, "host string, token bigint, pages bigint, vector bigint")
         .groupBy("host", "token").agg(F.sum("pages").alias("pages"), F.sum(F.col("vector").cast("decimal(38,0)")).alias("vector"))
     )
     frequent = vectors.join(stage(per_host, "host_pages"), "host").where(

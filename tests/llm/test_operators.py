@@ -465,3 +465,18 @@ def test_extraction_without_article_elements(spark):
         assert got[i]["text"] == f"Head n{i}\nText & n{i} more\nSecond n{i}"
     assert got[20]["text"] == got[21]["text"] == "" and got[20]["n_chars"] == 0
     assert got[22]["text"] == "plain text" and got[23]["text"] == "a\nb\nc\nd" and got[24]["text"] == "a < b"
+
+
+def test_copies_of_a_page_are_one_page_of_the_template(spark):
+    pages = {
+        "http://a.example/": "<article><h1>Head {0}</h1><p>First {0}</p><p>Second {0}</p></article>",
+        "http://b.example/": "<div><h1>Head {0}</h1><p>First {0}</p><p>Second {0}</p></div>",
+    }
+    rows = []
+    for url, page in pages.items():
+        rows += [(len(rows), f"{url}{n}", f"<!-- {n} -->" + page.format("copied" if n < 25 else n)) for n in range(30)]
+    got = extraction.extract_main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    for r in got:
+        n = int(r["url"].rsplit("/", 1)[1])
+        name = "copied" if n < 25 else n
+        assert r["text"] == f"Head {name}\nFirst {name}\nSecond {name}", r["url"]
