@@ -52,6 +52,8 @@ CLOSED_BY = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
     "option": {"option"},
 }
+LISTS = ("ul", "ol", "dl", "table", "tbody", "select", "menu")
+CELLS = ("td", "th", "table", "article", "main", "body")
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|[^<]+|<", re.S
 )
@@ -95,10 +97,14 @@ def parse_page(page: str) -> tuple[list[int], list[tuple[int, int, int, int, str
 
     Broken markup never fails: unclosed elements end with their parent, stray ends are ignored,
     an unfinished tag is text. Text before the first or after the last element counts as the body's.
+    Elements nest to any depth; the places of open tags are kept by name, so a tag finds its partner
+    without a walk over the stack.
     """
     tokens: list[int] = []
     blocks: list[tuple[int, int, int, int, str]] = []
     stack: list[tuple[str, int, int]] = [("", 0, PLAIN)]  # tag, place, part
+    opened: dict[str, list[int]] = {}
+    open_blocks: list[int] = [0]
     text: list[str] = []
     linked = in_link = 0
 
@@ -116,7 +122,15 @@ def parse_page(page: str) -> tuple[list[int], list[tuple[int, int, int, int, str
         linked = 0
 
     def close(at: int) -> None:
-        del stack[at:]
+        while len(stack) > at:
+            tag = stack.pop()[0]
+            opened[tag].pop()
+            if tag in BLOCK:
+                open_blocks.pop()
+
+    def last(names) -> int:
+        """Where the innermost open element of these names stands; 0 without one."""
+        return max((opened[n][-1] for n in names if opened.get(n)), default=0)
 
     at, size = 0, len(page)
     while at < size:
@@ -133,14 +147,12 @@ def parse_page(page: str) -> tuple[list[int], list[tuple[int, int, int, int, str
         if m[1]:
             if tag == "a":
                 in_link = 0
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    if tag in BLOCK:
-                        flush()
-                    close(k)
-                    break
-                if stack[k][0] in ("td", "th", "table", "article", "main", "body") and tag not in BLOCK:
-                    break
+            k = last((tag,))
+            if tag in BLOCK and k:
+                flush()
+                close(k)
+            elif k > last(CELLS):
+                close(k)
             continue
         if tag == "br" or tag == "wbr":
             text.append(" " if tag == "br" else "")
@@ -155,19 +167,13 @@ def parse_page(page: str) -> tuple[list[int], list[tuple[int, int, int, int, str
             if stack[-1][0] == "head" and tag != "head":
                 close(len(stack) - 1)
             if tag not in ("li", "dd", "dt", "td", "th", "tr", "option"):
-                for k in range(len(stack) - 1, 0, -1):  # a block ends an open paragraph
-                    if stack[k][0] == "p":
-                        close(k)
-                        break
-                    if stack[k][0] in BLOCK:
-                        break
+                if stack[open_blocks[-1]][0] == "p":  # a block ends an open paragraph
+                    close(open_blocks[-1])
             elif tag in CLOSED_BY:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] in CLOSED_BY[tag]:
-                        close(k)
-                        if tag != "tr":
-                            break
-                    elif stack[k][0] in ("ul", "ol", "dl", "table", "tbody", "select", "menu") or (tag != "tr" and stack[k][0] == "tr"):
+                stop = last(LISTS if tag == "tr" else (*LISTS, "tr"))
+                while (k := last(CLOSED_BY[tag])) > stop:
+                    close(k)
+                    if tag != "tr":
                         break
         if tag in VOID:
             continue
@@ -176,11 +182,11 @@ def parse_page(page: str) -> tuple[list[int], list[tuple[int, int, int, int, str
             in_link = 1
         name = f"{tag}.{' '.join(sorted(_NAME.findall(given.get('class', '').lower())))}"
         place = xxhash.xxh3_64_intdigest(name, stack[-1][1] & 0xFFFFFFFF) >> 1
-        stack.append((tag, place, _role(tag, given, stack[-1][2])))
+        opened.setdefault(tag, []).append(len(stack))
         if tag in BLOCK:
+            open_blocks.append(len(stack))
             tokens.append(place)
-        if len(stack) > 512:
-            close(256)
+        stack.append((tag, place, _role(tag, given, stack[-1][2])))
     flush()
     return tokens, blocks
 

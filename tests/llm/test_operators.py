@@ -480,3 +480,13 @@ def test_copies_of_a_page_are_one_page_of_the_template(spark):
         n = int(r["url"].rsplit("/", 1)[1])
         name = "copied" if n < 25 else n
         assert r["text"] == f"Head {name}\nFirst {name}\nSecond {name}", r["url"]
+
+
+def test_deep_nesting_keeps_parts_and_end_tags():
+    deep = 600
+    page = f"<div><article>{'<div>' * deep}inner{'</div>' * deep}<p>rest</p></article></div>after"
+    assert [(part, text) for _, _, part, _, text in extraction.parse_page(page)[1]] == [
+        (extraction.ARTICLE, "inner"), (extraction.ARTICLE, "rest"), (extraction.PLAIN, "after")
+    ]
+    page = f"{'<div>' * deep}<article>story<nav>menu</nav></article>{'</div>' * deep}"
+    assert [(part, text) for _, _, part, _, text in extraction.parse_page(page)[1]] == [(extraction.ARTICLE, "story"), (extraction.SKIP, "menu")]
