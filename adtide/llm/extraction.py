@@ -2,8 +2,9 @@
 
 Tokens (elements by their place, text blocks by place and content) that occur equally often on every
 page of a host form an equivalence class. Frequent classes whose tokens keep one order are the
-host's template; what stands between its tokens are slots. The text of the slots in the article's
-part of the page is the main text.
+host's template. Tags, roles and class names decide which part of a page is the article; the
+template only takes text blocks out of that part. What stands between its tokens is not built into
+slots, and the article is not chosen among them.
 """
 
 from __future__ import annotations
@@ -24,10 +25,6 @@ from adtide.sources.files import stage
 MIN_PAGES = 3
 MIN_SHARE = 0.5
 MIN_CLASS = 2
-#: Inside an article a text block is template only with much more support: copies of one article
-#: on a host also repeat its blocks.
-ARTICLE_PAGES = 20
-ARTICLE_SHARE = 0.8
 LINK_SHARE = 0.5
 
 # Element kinds of HTML and usual names of page parts.
@@ -266,7 +263,7 @@ def _orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def host_templates(parsed: DataFrame) -> DataFrame:
-    """``host, members, classes, share, pages``: the template tokens of each host, one row per host.
+    """``host, members``: the template tokens of each host, one row per host.
 
     Pages of a host with the same tokens in the same order are copies and count as one page. Every
     task sums the occurrence vectors of its pages first, so a host of any size is spread; what is
@@ -283,7 +280,7 @@ def host_templates(parsed: DataFrame) -> DataFrame:
     classes = frequent.withColumn("class", F.xxhash64("vector", "pages"))
     members = stage(
         classes.groupBy("host", "class").agg(
-            F.collect_list("token").alias("tokens"), (F.max("pages") / F.max("host_pages")).alias("share"), F.max("pages").alias("pages")
+            F.collect_list("token").alias("tokens")
         ).where(F.size("tokens") >= MIN_CLASS),
         "classes",
     )
@@ -301,15 +298,15 @@ def host_templates(parsed: DataFrame) -> DataFrame:
     )
     valid = orders.where("low = high").select("host", "class")
     return stage(
-        members.join(valid, ["host", "class"]).select("host", "share", "pages", F.explode("tokens").alias("token"))
-        .groupBy("host").agg(F.collect_list(F.struct("token", "share", "pages")).alias("m"))
-        .select("host", F.col("m.token").alias("members"), F.col("m.share").alias("share"), F.col("m.pages").alias("pages")),
+        members.join(valid, ["host", "class"]).select("host", F.explode("tokens").alias("token"))
+        .groupBy("host").agg(F.collect_list("token").alias("members")),
         "templates",
     )
 
 
-def page_text(blocks: list[tuple[int, int, int, str]], template: dict[int, tuple[float, int]]) -> str:
-    """Join the slot texts (own token, part, link chars, text) of the page's article.
+def page_text(blocks: list[tuple[int, int, int, str]], template: set[int]) -> str:
+    """Join the texts of the blocks (own token, part, link chars, text) of the page's article that are
+    not template, in any part of the page and at any host size.
 
     The article is the article element's part, else main's, else whatever is no skipped part; in the
     last case blocks that are mostly links go too.
@@ -321,9 +318,7 @@ def page_text(blocks: list[tuple[int, int, int, str]], template: dict[int, tuple
         if part != wanted:
             continue
         if own in template:
-            share, pages = template[own]
-            if wanted == PLAIN or (share >= ARTICLE_SHARE and pages >= ARTICLE_PAGES):
-                continue
+            continue
         if wanted == PLAIN and linked > LINK_SHARE * len(text):
             continue
         out.append(text)
@@ -334,10 +329,9 @@ def _extract(id_name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            columns = ["own", "part", "linked", "texts", "members", "share", "pages"]
-            for own, part, linked, texts, members, share, pages in zip(*[batch.column(c).to_pylist() for c in columns], strict=True):
-                template = dict(zip(members, zip(share, pages, strict=True), strict=True)) if members else {}
-                out.append(page_text(list(zip(own, part, linked, texts, strict=True)), template))
+            columns = ["own", "part", "linked", "texts", "members"]
+            for own, part, linked, texts, members in zip(*[batch.column(c).to_pylist() for c in columns], strict=True):
+                out.append(page_text(list(zip(own, part, linked, texts, strict=True)), set(members or ())))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(id_name), batch.column("url"), pa.array(out, pa.string()), pa.array(list(map(len, out)), pa.int64())],
                 names=[id_name, "url", "text", "n_chars"],

@@ -490,3 +490,11 @@ def test_deep_nesting_keeps_parts_and_end_tags():
     ]
     page = f"{'<div>' * deep}<article>story<nav>menu</nav></article>{'</div>' * deep}"
     assert [(part, text) for _, _, part, _, text in extraction.parse_page(page)[1]] == [(extraction.ARTICLE, "story"), (extraction.SKIP, "menu")]
+
+
+def test_template_text_goes_at_every_host_size(spark):
+    page = "<article><h1>Head {0}</h1><p>Text {0}</p><p>Subscribe to our letter</p></article>"
+    rows = [(n * 100 + i, f"http://h{n}.example/{i}", page.format(i)) for n in (3, 19, 20) for i in range(n)]
+    got = extraction.extract_main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    for r in got:
+        assert r["text"] == "Head {0}\nText {0}".format(r["page_id"] % 100), r["url"]
