@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adtide.llm.mixing import uniform
@@ -217,17 +217,25 @@ def fit_languages(
     """Model, temperature and rejection bounds from texts with a language.
 
     A language's share of texts is set so that about ``train_chars`` characters are expected; which
-    texts those are depends on their ids. One in ten of them calibrates and is not counted. Only
-    the tables of these bounded samples reach the driver. Without a labelled text the model is None.
+    texts those are depends on their ids. A text longer than ``train_chars`` gives that many characters
+    from a place that depends on its id. The text with the lowest hash of its id is always taken and
+    counted, so every labelled language is learned. One in ten of the others calibrates and is not
+    counted, whatever the language's size; at most ``CALIBRATION_TEXTS`` of a language, by hash order.
+    Only the tables of these bounded samples reach the driver. Without a labelled text the model is None.
     """
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")
     )
-    sizes = stage(rows.groupBy("lang").agg(F.sum(F.length("text")).alias("chars")), "language_sizes")
+    rows = rows.withColumn("at", F.xxhash64(F.lit(8), F.col("id").cast("string"), "text")).withColumn("size", F.length("text"))
+    filled = rows.where(F.col("text").rlike(r"\S"))
+    sizes = stage(filled.groupBy("lang").agg(F.sum("size").alias("chars"), F.min("at").alias("first")), "language_sizes")
     rate = F.least(F.lit(1.0), F.lit(float(train_chars)) / F.greatest("chars", F.lit(1)))
+    start = 1 + F.floor(uniform(F.col("id"), 10) * F.greatest(F.col("size") - train_chars, F.lit(0))).cast("int")
+    always = F.col("at") == F.col("first")
     picked = stage(
-        rows.join(sizes, "lang").where(uniform(F.col("id"), 8) < rate)
-        .withColumn("held", (uniform(F.col("id"), 9) < 0.1) & (F.col("chars") > 20_000)).drop("chars"),
+        filled.join(sizes, "lang").where(always | (uniform(F.col("id"), 8) < rate))
+        .withColumn("held", ~always & (uniform(F.col("id"), 9) < 0.1))
+        .select("lang", "at", "held", F.substring("text", start, F.lit(train_chars)).alias("text")),
         "language_sample",
     )
     words = (
@@ -243,7 +251,8 @@ def fit_languages(
     model = Model({
         r["lang"]: [{k: np.frombuffer(bytes(r[k][i]), dtype=t) for k, t in kinds.items()} for i in range(order)] for r in fitted
     })
-    held = picked.where("held").select("lang", "text").limit(CALIBRATION_TEXTS * len(model.languages))
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("at"))
+    held = picked.where("held").withColumn("nth", nth).where(F.col("nth") <= CALIBRATION_TEXTS).select("lang", "text")
     run = _entropies(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -498,3 +498,14 @@ def test_template_text_goes_at_every_host_size(spark):
     got = extraction.extract_main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
     for r in got:
         assert r["text"] == "Head {0}\nText {0}".format(r["page_id"] % 100), r["url"]
+
+
+def test_every_labelled_language_is_learned(spark):
+    rows = [(i, f"wort{i} der die das " * 1_500, f"l{i}") for i in range(30)]  # one text of over 20,000 characters each
+    rows += [(100 + i, "alpha beta gamma delta " * 200, "long") for i in range(3)]
+    model, _, _ = langid.fit_languages(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), train_chars=100)
+    assert model.languages == sorted({r[2] for r in rows})
+    rows = [(i, "viele worte hier", "many") for i in range(400)] + [(1_000 + i, "few words", "few") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    _, _, bounds = langid.fit_languages(docs)
+    assert np.isfinite(bounds).all()  # both languages are calibrated
