@@ -2,8 +2,8 @@
 
 A word belongs to the class of its last letters; a hidden state emits classes, and a class emits its
 words by their counts in the training texts. Texts are stored once as word numbers in chunks, each
-with the words that occur in it. Baum-Welch runs over all training chunks in parallel and adds up
-expected counts; scoring runs the scaled forward recursion over each whole text.
+with the words that occur in it. Baum-Welch runs over all whole texts of the training chunks in parallel
+and adds up expected counts; scoring runs the scaled forward recursion over each whole text.
 """
 
 from __future__ import annotations
@@ -26,7 +26,6 @@ CLASSES = 1 << 14
 END_CLASS = 0
 ENDING = 4
 ITERATIONS = 4
-SEGMENT = 128
 CHUNK_WORDS = 1_000_000
 DISCOUNT = 0.5
 PRIOR = 0.01
@@ -149,58 +148,87 @@ class Hmm:
         return cls(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=1, keepdims=True))
 
 
-def expected_counts(model: Hmm, sequences: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
-    """Expected starts, moves and emissions, and the log-likelihood, of padded class sequences.
+def text_counts(
+    model: Hmm, classes: np.ndarray, first: np.ndarray, lengths: np.ndarray, block: int = BATCH_WORDS
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Expected starts, moves and emissions, and the log-likelihood, of whole class sequences.
 
-    ``sequences`` is (time, sequence), longest first; at each time the sequences that have ended are
-    left out, so padding costs nothing.
+    ``first`` is where each sequence begins in ``classes``; longest first. At each time the sequences
+    that have ended are left out. Times are cut into blocks of about ``block`` classes: the state
+    before each is kept and its alphas are computed again on the way back, so a sequence of any
+    length needs the arrays of one block.
     """
-    k, steps = len(model.start), sequences.shape[0]
+    k, steps = len(model.start), int(lengths[0])
+    emit, move = np.ascontiguousarray(model.emit.T), model.move
+    back = np.ascontiguousarray(move.T)
     alive = np.searchsorted(-lengths, -np.arange(steps), side="left")
-    emit = np.ascontiguousarray(model.emit.T)
-    move = model.move
-    alphas, scales, emitted = [], [], []
-    for t in range(steps):
-        n = alive[t]
-        e = emit[sequences[t, :n]]
-        a = (np.broadcast_to(model.start, (n, k)) if t == 0 else alphas[-1][:n] @ move) * e
-        s = a.sum(axis=1, keepdims=True)
-        alphas.append(a / s)
-        scales.append(s)
-        emitted.append(e)
-    moves = np.zeros((k, k))
-    gammas: list[np.ndarray] = [np.empty(0)] * steps
-    beta = np.ones((alive[-1], k))
-    for t in range(steps - 1, -1, -1):
-        n = alive[t]
-        if len(beta) < n:
-            beta = np.concatenate([beta, np.ones((n - len(beta), k))])
-        gammas[t] = alphas[t] * beta
-        if t:
-            ahead = emitted[t] * beta / scales[t]
-            moves += alphas[t - 1][:n].T @ ahead
-            beta = ahead @ move.T
-    moves *= move
-    gamma = np.concatenate(gammas)
-    seen = np.concatenate([sequences[t, : alive[t]] for t in range(steps)])
-    emissions = np.stack([np.bincount(seen, weights=gamma[:, j], minlength=model.emit.shape[1]) for j in range(k)])
-    return gammas[0].sum(axis=0), moves, emissions, float(sum(np.log(s).sum() for s in scales))
-
-
-def _segments(classes: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Texts (with end class) as padded pieces of at most SEGMENT classes, longest first."""
+    cuts, size = [0], 0
+    for t, n in enumerate(alive.tolist()):
+        if size and size + n > block:
+            cuts.append(t)
+            size = 0
+        size += n
+    cuts.append(steps)
+
+    def forward(b: int, a: np.ndarray | None):
+        n = alive[cuts[b] : cuts[b + 1]]
+        offsets = np.concatenate([[0], np.cumsum(n)])
+        row = np.arange(offsets[-1]) - np.repeat(offsets[:-1], n)
+        seen = classes[first[row] + np.repeat(np.arange(cuts[b], cuts[b + 1]), n)]
+        emitted = emit[seen]
+        alphas, scales = np.empty_like(emitted), np.empty((len(seen), 1))
+        bounds = offsets.tolist()
+        for lo, hi in zip(bounds, bounds[1:]):
+            x = (model.start if a is None else a[: hi - lo] @ move) * emitted[lo:hi]
+            scale = x.sum(axis=1, keepdims=True)
+            scales[lo:hi] = scale
+            a = alphas[lo:hi] = x / scale
+        return seen, emitted, alphas, scales, row, bounds, a
+
+    before: list[np.ndarray | None] = [None]
+    log_likelihood = 0.0
+    for b in range(len(cuts) - 1):
+        part = forward(b, before[b])
+        log_likelihood += float(np.log(part[3]).sum())
+        before.append(part[-1])
+    start, moves, emissions = np.zeros(k), np.zeros((k, k)), np.zeros((k, model.emit.shape[1]))
+    beta = np.ones((0, k))
+    for b in range(len(cuts) - 2, -1, -1):
+        if b < len(cuts) - 2:
+            part = forward(b, before[b])
+        seen, emitted, alphas, scales, row, bounds, _ = part
+        emitted /= scales
+        betas, aheads = np.empty_like(emitted), np.empty_like(emitted)
+        for lo, hi in zip(bounds[-2::-1], bounds[:0:-1]):
+            if len(beta) < hi - lo:
+                beta = np.concatenate([beta, np.ones((hi - lo - len(beta), k))])
+            betas[lo:hi] = beta
+            ahead = aheads[lo:hi] = emitted[lo:hi] * beta
+            beta = ahead @ back
+        gamma = alphas * betas
+        for j in range(k):
+            emissions[j] += np.bincount(seen, weights=gamma[:, j], minlength=emissions.shape[1])
+        inner = np.repeat(bounds[:-2], np.diff(bounds[1:])) + row[bounds[1] :]
+        moves += alphas[inner.astype(np.int64)].T @ aheads[bounds[1] :]
+        if before[b] is None:
+            start += gamma[: bounds[1]].sum(axis=0)
+        else:
+            moves += before[b][: bounds[1]].T @ aheads[: bounds[1]]
+    return start, moves * move, emissions, log_likelihood
+
+
+def expected_counts(model: Hmm, sequences: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """``text_counts`` of padded sequences, (time, sequence), longest first."""
+    return text_counts(model, sequences.T.ravel(), np.arange(len(lengths)) * sequences.shape[0], lengths)
+
+
+def _groups(ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Where whole texts begin and their lengths, longest first, at most BATCH_WORDS texts at a time."""
     starts = np.concatenate([[0], ends[:-1]])
-    pieces = [(a, min(a + SEGMENT, e)) for s, e in zip(starts.tolist(), ends.tolist(), strict=True) for a in range(s, e, SEGMENT)]
-    at, stop = 0, len(pieces)
-    while at < stop:
-        part = pieces[at : at + BATCH_WORDS // SEGMENT]
-        at += len(part)
-        part.sort(key=lambda p: p[0] - p[1])
-        lengths = np.array([b - a for a, b in part])
-        out = np.zeros((lengths[0], len(part)), dtype=np.int32)
-        index = np.array([a for a, _ in part]) + np.arange(lengths[0])[:, None]
-        np.copyto(out, classes[np.minimum(index, len(classes) - 1)])
-        yield out, lengths
+    lengths = ends - starts
+    order = np.argsort(-lengths, kind="stable")
+    for at in range(0, len(order), BATCH_WORDS):
+        yield starts[order[at : at + BATCH_WORDS]], lengths[order[at : at + BATCH_WORDS]]
 
 
 def _with_ends(a: dict) -> tuple[np.ndarray, np.ndarray]:
@@ -225,8 +253,8 @@ def _expect(model: Hmm):
                     continue
                 size = a["lengths"].astype(np.int64) + 1
                 classes = classes[np.repeat(learn, size)]
-                for sequences, lengths in _segments(classes, np.cumsum(size[learn])):
-                    *counts, ll = expected_counts(model, sequences, lengths)
+                for first, lengths in _groups(np.cumsum(size[learn])):
+                    *counts, ll = text_counts(model, classes, first, lengths)
                     total = counts if total is None else [x + y for x, y in zip(total, counts, strict=True)]
                     log_likelihood += ll
         if total is None:

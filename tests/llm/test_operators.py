@@ -509,3 +509,22 @@ def test_every_labelled_language_is_learned(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
     _, _, bounds = langid.fit_languages(docs)
     assert np.isfinite(bounds).all()  # both languages are calibrated
+
+
+def test_baum_welch_over_whole_texts(spark):
+    rng = np.random.default_rng(5)
+    model, lengths = hmm.Hmm.initial(3, 20, 2), np.array([700, 300, 300, 40, 1])
+    classes = rng.integers(0, 20, lengths.sum())
+    first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+    want = hmm.text_counts(model, classes, first, lengths)
+    assert want[3] == pytest.approx(hmm.forward_scores(model, classes, np.cumsum(lengths)).sum())
+    assert want[0].sum() == pytest.approx(5) and want[1].sum() == pytest.approx((lengths - 1).sum())
+    for block in (1, 7, 500):
+        for x, y in zip(hmm.text_counts(model, classes, first, lengths, block), want, strict=True):
+            assert np.allclose(x, y)
+    docs = spark.createDataFrame([(0, "some words of it " * 200), (1, "few words")], "doc_id bigint, text string")
+    chunk = hmm.encode_texts(docs.coalesce(1), "doc_id", "text", id_remainder("doc_id", 5) >= 0)
+    _, history = hmm.train(chunk, iterations=1)
+    start = hmm.Hmm.initial()
+    ll = sum(hmm.forward_scores(start, *hmm._with_ends(hmm._arrays(r.asDict()))).sum() for r in chunk.collect())
+    assert history[0] == pytest.approx(ll)
