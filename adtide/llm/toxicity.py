@@ -25,7 +25,12 @@ from adtide.sources.files import stage
 #: The classifier is fitted on at most so many labelled texts, picked by a hash of their ids.
 LABELLED = 40_000
 LEXICON = 2_000
-SHORTEST, LONGEST = 4, 10
+#: Letters of a piece of a word; whole words count at any length.
+LONGEST = 10
+#: A longer word is a run of text without blanks.
+RUN = 40
+#: Candidates and words that a task holds before it passes them on.
+PART = 500_000
 MIN_DOCS = 6
 MIN_CONTEXTS = 5
 MIN_WEIGHT = 3.0
@@ -71,27 +76,61 @@ def _table() -> dict:
     return worker_state().setdefault("fold", _Fold())
 
 
-def candidate_counts(texts: Iterator[str]) -> tuple[Counter, dict[str, set[int]]]:
-    """Texts for each word and word beginning, and (some of) the words that follow it.
+def word_grams(word: str) -> set[str]:
+    """Candidates that a word holds: itself, and its pieces of up to LONGEST letters at every place.
 
-    A beginning is kept because compounds share it. Copies of one text repeat its words in the
-    same surroundings, so different followers tell a marker from a copied passage.
+    A blank at an end of a candidate is the word's edge.
+    """
+    edged = f" {word} "
+    size = len(edged)
+    grams = {edged}
+    for at in range(size - 1):
+        lead = at == 0
+        for k in range(1 + lead, min(LONGEST + lead, size - 1 - at) + 1):
+            grams.add(edged[at : at + k])
+    for k in range(1, min(LONGEST, len(word)) + 1):
+        grams.add(edged[-k - 1 :])
+    return grams
+
+
+def candidate_counts(texts: Iterator[str]) -> Iterator[tuple[Counter, dict[str, set[int]]]]:
+    """Texts for each candidate, and (some of) its different surroundings, in parts of bounded size.
+
+    Copies of one text repeat its words in the same surroundings, so different ones tell a marker
+    from a copied passage. They are the word after, and in a long run without blanks the letters after.
     """
     docs: Counter = Counter()
-    followers: dict[str, set[int]] = defaultdict(set)
+    around: dict[str, set[int]] = defaultdict(set)
     table = _table()
+
+    def note(gram: str, mark: int) -> None:
+        marks = around[gram]
+        if len(marks) < MIN_CONTEXTS:
+            marks.add(mark)
+
     for text in texts:
         words = fold(text, table)
+        after: dict[str, set[int]] = defaultdict(set)
+        for w, follower in zip(words, [*words[1:], ""], strict=True):
+            if len(after[w]) < MIN_CONTEXTS:
+                after[w].add(zlib.crc32(follower.encode("utf-8", "surrogatepass")))
         seen: set[str] = set()
-        for w, after in zip(words, [*words[1:], ""], strict=True):
-            mark = zlib.crc32(after.encode())
-            for k in range(SHORTEST, min(len(w), LONGEST) + 1):
-                gram = " " + w[:k]
-                seen.add(gram)
-                if len(followers[gram]) < MIN_CONTEXTS:
-                    followers[gram].add(mark)
+        for w, marks in after.items():
+            grams = word_grams(w)
+            seen |= grams
+            if len(w) <= RUN:
+                for gram in grams:
+                    for mark in marks:
+                        note(gram, mark)
+                continue
+            for at in range(len(w)):
+                for k in range(1, min(LONGEST, len(w) - at) + 1):
+                    note(w[at : at + k], zlib.crc32(w[at + k : at + k + 8].encode("utf-8", "surrogatepass")))
         docs.update(seen)
-    return docs, followers
+        if len(docs) > PART:
+            yield docs, around
+            docs, around = Counter(), defaultdict(set)
+    yield docs, around
 
 
 class Lexicon:
@@ -106,9 +145,9 @@ class Lexicon:
 
         machine = ahocorasick.Automaton()
         for entry, weight in self.weights.items():
-            machine.add_word(entry, (weight, len(entry)))
+            machine.add_word(entry, (weight, len(entry.lstrip()), len(entry) - len(entry.rstrip())))
         for phrase in self.exceptions:
-            machine.add_word(phrase, (None, len(phrase)))
+            machine.add_word(phrase, (None, len(phrase.lstrip()), len(phrase) - len(phrase.rstrip())))
         if len(machine):
             machine.make_automaton()
         return machine
@@ -122,8 +161,8 @@ class Lexicon:
         if not len(machine) or not words:
             return 0.0, 0.0, 0.0, 0
         hits, spared = [], []
-        for end, (weight, length) in machine.iter(" " + " ".join(words) + " "):
-            (hits if weight is not None else spared).append((end + 1 - length, end + 1, weight))
+        for end, (weight, length, edge) in machine.iter(" " + " ".join(words) + " "):  # spans without edges
+            (hits if weight is not None else spared).append((end + 1 - length, end + 1 - edge, weight))
         kept: list[tuple[int, int, float]] = []
         for start, end, weight in sorted(hits):
             if any(a <= start and end <= b for a, b, _ in spared):
@@ -158,28 +197,33 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int =
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     texts = (t.as_py() or "" for b in batches for t in b.column(0))
-    docs, followers = candidate_counts(texts)
-    rows = [(g, n, sorted(followers[g])) for g, n in docs.items()]
-    g, n, f = zip(*rows, strict=True) if rows else ([], [], [])
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(g, pa.string()), pa.array(n, pa.int64()), pa.array(f, pa.list_(pa.int64()))], names=["gram", "n", "followers"]
-    )
+    for docs, around in candidate_counts(texts):
+        rows = [(g, n, sorted(around[g])) for g, n in docs.items()]
+        g, n, f = zip(*rows, strict=True) if rows else ([], [], [])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(g, pa.string()), pa.array(n, pa.int64()), pa.array(f, pa.list_(pa.int64()))], names=["gram", "n", "followers"]
+        )
 
 
-def _seen_in(grams: list[str]):
-    """Per entry and word that it starts: texts of the batch with that word."""
+def _seen_in(grams: list[str], words: bool = True):
+    """Per entry and word that holds it: texts of the batch with that word; with the empty word, of any."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted, table, counts = set(grams), _table(), Counter()
+        known: dict[str, list[str]] = {}
         for b in batches:
             for t in b.column(0):
-                found = set()
+                any_word: set[str] = set()
                 for w in set(fold(t.as_py() or "", table)):
-                    for k in range(SHORTEST, min(len(w), LONGEST) + 1):
-                        if " " + w[:k] in wanted:
-                            found.add((" " + w[:k], w))
-                counts.update(found)
-                counts.update({(g, "") for g, _ in found})
+                    held = known.get(w)
+                    if held is None:
+                        held = known[w] = list(word_grams(w) & wanted)
+                    any_word.update(held)
+                    if words:
+                        counts.update((g, w) for g in held)
+                counts.update((g, "") for g in any_word)
+                if len(known) > PART:
+                    known.clear()
         rows = [(g, w, n) for (g, w), n in counts.items()]
         g, w, n = zip(*rows, strict=True) if rows else ([], [], [])
         yield pa.RecordBatch.from_arrays([pa.array(g, pa.string()), pa.array(w, pa.string()), pa.array(n, pa.int64())], names=["gram", "word", "n"])
@@ -202,9 +246,11 @@ def fit_lexicon(
 ) -> Lexicon:
     """Lexicon and score learned from labelled rows (``labels``: id and 0/1), a bounded number of them.
 
-    Entries are words and word beginnings in at least ``MIN_DOCS`` toxic texts and before different
-    words, weighted by their log odds; a beginning gives way to a longer one that is as frequent.
-    Exceptions are words that start with an entry but occur in clean texts only. Without labels of
+    Entries are words of any length and pieces of words, from every place, in at least ``MIN_DOCS``
+    toxic texts and before different words, weighted by their log odds; a piece gives way to a longer
+    one that is as frequent, and one from a word's inside to a beginning or word that holds it and
+    weighs more. All such candidates are counted in the clean texts before the
+    ``LEXICON`` best are kept. Exceptions are words that hold an entry but occur in clean texts only. Without labels of
     both kinds the score is one half or the only label's.
     """
     sample = stage(labelled_sample(docs, labels, id_col, text_col, label_col, most), "labelled")
@@ -215,10 +261,10 @@ def fit_lexicon(
         toxic.mapInArrow(_count, "gram string, n bigint, followers array<bigint>").groupBy("gram")
         .agg(F.sum("n").alias("n"), F.array_distinct(F.flatten(F.collect_list("followers"))).alias("f"))
         .where((F.col("n") >= MIN_DOCS) & (F.size("f") >= MIN_CONTEXTS))
-        .orderBy(F.desc("n"), "gram").limit(20 * LEXICON).select("gram", "n").collect()
+        .select("gram", "n").collect()
     )
     in_toxic = {r["gram"]: r["n"] for r in counted}
-    rows = clean.mapInArrow(_seen_in(list(in_toxic)), "gram string, word string, n bigint").groupBy("gram").agg(
+    rows = clean.mapInArrow(_seen_in(list(in_toxic), words=False), "gram string, word string, n bigint").groupBy("gram").agg(
         F.sum(F.when(F.col("word") == "", F.col("n"))).alias("n")
     ).collect()
     in_clean = {r["gram"]: r["n"] for r in rows}
@@ -226,7 +272,13 @@ def fit_lexicon(
         g: math.log((n + 0.5) / (n_toxic + 1)) - math.log((in_clean.get(g, 0) + 0.5) / (n_clean + 1)) for g, n in in_toxic.items()
     }
     strong = {g: w for g, w in weights.items() if w >= MIN_WEIGHT}
-    longer = {g[:-1] for g in strong if g[:-1] in strong and in_toxic[g] == in_toxic[g[:-1]]}
+    edged: dict[str, float] = {}  # the most weight of a strong entry from a word's start that holds a piece
+    for g, w in strong.items():
+        if g[0] == " ":
+            for part in word_grams(g.strip()):
+                edged[part] = max(edged.get(part, 0.0), w)
+    strong = {g: w for g, w in strong.items() if g[0] == " " or w >= edged.get(g, 0.0)}
+    longer = {part for g in strong for part in (g[:-1], g[1:]) if part in strong and in_toxic[g] == in_toxic[part]}
     ranked = sorted((g for g in strong if g not in longer), key=lambda g: (-strong[g] * math.log(in_toxic[g]), g))[:LEXICON]
     by_word: dict[str, dict[str, list[int]]] = defaultdict(lambda: defaultdict(lambda: [0, 0]))
     for label, part in ((1, toxic), (0, clean)):

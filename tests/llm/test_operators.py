@@ -528,3 +528,25 @@ def test_baum_welch_over_whole_texts(spark):
     start = hmm.Hmm.initial()
     ll = sum(hmm.forward_scores(start, *hmm._with_ends(hmm._arrays(r.asDict()))).sum() for r in chunk.collect())
     assert history[0] == pytest.approx(ll)
+
+
+def test_toxicity_of_short_inner_and_unspaced_markers(spark):
+    rng = np.random.default_rng(7)
+    plain = ["".join(rng.choice(list("abcdefgh"), 6)) for _ in range(300)]
+    signs = [chr(c) for c in range(0x4E10, 0x4E80)]
+    kinds = [lambda: "zq", lambda: rng.choice(plain) + "vwxy" + rng.choice(plain)]
+
+    def text(n, toxic):
+        if n % 3 == 2:
+            run = "".join(rng.choice(signs, 60))
+            return run + "\u9ed1\u9ed2" + "".join(rng.choice(signs, 10)) if toxic else run
+        words = list(rng.choice(plain, 12))
+        return " ".join(words[:6] + ([kinds[n % 3]()] if toxic else []) + words[6:])
+
+    rows = [(n, text(n, n % 2), n % 2) for n in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    lexicon = toxicity.fit_lexicon(docs.where("doc_id < 600"), docs.where("doc_id < 600").select("doc_id", "toxic"))
+    got = toxicity.score_toxicity(docs.where("doc_id >= 600"), lexicon).collect()
+    for kind in range(3):
+        mine = [r for r in got if r["doc_id"] % 3 == kind]
+        assert np.mean([r["predicted"] == r["doc_id"] % 2 for r in mine]) > 0.95, kind
