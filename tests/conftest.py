@@ -22,10 +22,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def final_plan(df) -> str:
-    """The executed plan after adaptive changes."""
-    df.collect()
-    text = df._jdf.queryExecution().executedPlan().toString()
-    return text.split("== Initial Plan ==")[0]
