@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtide.llm import dedup, extraction, hmm, langid, mixing, ngram_join, packing, quality, toxicity, warc
+from adtide.llm import dedup, extraction, hmm, langid, mixing, ngram_join, packing, quality, toxicity, vector_codes, warc
 from adtide.llm.common import id_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +134,41 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract_main_text(table(spark, sf_dir, "pages"))
+
+def _nearest(entries: str) -> str:
+    far = " + ".join(f"(s[{i}] - c[{i}]) * (s[{i}] - c[{i}])" for i in range(1, 5))
+    return f"SELECT vec_id, part, min(({far}) * 64 + entry) AS k FROM parts JOIN {entries} USING (part) GROUP BY ALL"
+
+
+def _averaged(old: str, near: str) -> str:
+    mean = ", ".join(f"floor(sum(s[{i}]) / count(*))::BIGINT" for i in range(1, 5))
+    return (
+        f"SELECT part, entry, coalesce(m, c) AS c FROM {old} LEFT JOIN (SELECT part, k % 64 AS entry, [{mean}] AS m "
+        f"FROM {near} JOIN parts USING (vec_id, part) GROUP BY ALL) USING (part, entry)"
+    )
+
+
+@query(
+    f"""
+    WITH kept AS (
+        SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), parts AS MATERIALIZED (
+        SELECT vec_id, p AS part, v[p * 4 + 1 : p * 4 + 4] AS s FROM kept, range(16) t(p)
+    ), first AS (
+        SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept ORDER BY vec_id LIMIT 64
+    ), c0 AS MATERIALIZED (SELECT part, entry, s AS c FROM parts JOIN first USING (vec_id)),
+    a0 AS MATERIALIZED ({_nearest("c0")}), c1 AS MATERIALIZED ({_averaged("c0", "a0")}),
+    a1 AS MATERIALIZED ({_nearest("c1")}), c2 AS MATERIALIZED ({_averaged("c1", "a1")}),
+    a2 AS MATERIALIZED ({_nearest("c2")}),
+    coded AS (
+        SELECT vec_id, string_agg(printf('%02x', (k % 64)::INTEGER), '' ORDER BY part) AS code, sum(k // 64)::BIGINT AS error
+        FROM a2 GROUP BY vec_id
+    )
+    SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+        (SELECT sha256(string_agg(c[i]::VARCHAR, ',' ORDER BY part, entry, i)) FROM c2, range(1, 5) t(i)) AS codebooks_sha256
+    FROM coded JOIN kept USING (vec_id)
+    """
+)
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress_vectors(table(spark, sf_dir, "embeddings"))
