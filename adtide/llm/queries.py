@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtide.llm import dedup, extraction, hmm, langid, mixing, ngram_join, packing, quality, toxicity, vector_codes, warc
+from adtide.llm import dedup, extraction, hmm, langid, mixing, ngram_join, packing, privacy, quality, toxicity, vector_codes, warc
 from adtide.llm.common import id_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -172,3 +172,88 @@ def _averaged(old: str, near: str) -> str:
 )
 def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress_vectors(table(spark, sf_dir, "embeddings"))
+
+
+_EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
+_PERSONAL = {
+    "email": (_EMAIL, "true", "lower(v)"),
+    "ip": (
+        r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        "len(list_filter(string_split(v, '.'), lambda x: len(ltrim(x, '0')) > 3 OR (len(ltrim(x, '0')) = 3 AND ltrim(x, '0') > '255'))) = 0",
+        "v",
+    ),
+    "card": (
+        r"[0-9]([\x20-]?[0-9])+",
+        "len(d) BETWEEN 12 AND 19 AND list_sum(list_transform(range(1, len(d) + 1), lambda i: CASE WHEN i % 2 = 1 THEN d[len(d) - i + 1]::INT"
+        " ELSE d[len(d) - i + 1]::INT * 2 - CASE WHEN d[len(d) - i + 1]::INT > 4 THEN 9 ELSE 0 END END)) % 10 = 0",
+        "d",
+    ),
+    "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "len(d) BETWEEN 9 AND 15", "d"),
+}
+_CUT = " UNION ALL ".join(
+    f"SELECT text, {rank} AS rank, '{kind}' AS kind, regexp_extract_all(text, '{p}') AS hits, regexp_split_to_array(text, '{p}') AS gaps FROM texts"
+    for rank, (kind, (p, _, _)) in enumerate(_PERSONAL.items())
+)
+_VALID = " OR ".join(f"(kind = '{k}' AND {test})" for k, (_, test, _) in _PERSONAL.items())
+_ENTITY = "CASE kind " + " ".join(f"WHEN '{k}' THEN '{k}:' || {form}" for k, (_, _, form) in _PERSONAL.items()) + " END"
+_WORDS = (
+    "list_filter(regexp_extract_all({}, '[\\p{{L}}\\p{{N}}''_-]+'), lambda x: len(x) > 2 AND regexp_matches(x, '^\\p{{L}}'))"
+)
+
+
+@query(
+    rf"""
+    WITH texts AS MATERIALIZED (SELECT DISTINCT coalesce(text, '') AS text FROM documents),
+    cut AS ({_CUT}),
+    hit AS (
+        SELECT text, rank, kind, hits[i] AS v, regexp_replace(hits[i], '[^0-9]+', '', 'g') AS d, gaps[i] AS g, gaps[i + 1] AS h,
+            sum(len(gaps[i]) + len(hits[i])) OVER (PARTITION BY text, rank ORDER BY i) AS e
+        FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM cut)
+    ), base AS MATERIALIZED (
+        SELECT text, rank, kind, (e - len(v))::BIGINT AS b, e::BIGINT AS e, {_ENTITY} AS entity,
+            CASE WHEN len(g) > 120 THEN regexp_replace(right(g, 120), '^[^\x20\x09-\x0D]+', '') ELSE g END AS left_of,
+            CASE WHEN len(h) > 120 THEN regexp_replace(left(h, 120), '[^\x20\x09-\x0D]+$', '') ELSE h END AS right_of
+        FROM hit WHERE {_VALID}
+    ), near AS MATERIALIZED (
+        SELECT DISTINCT text, entity, left_of, right_of,
+            lower(unnest({_WORDS.format(f"regexp_replace(left_of || chr(32) || chr(10) || chr(32) || right_of, '{_EMAIL}', ' ', 'g')")})) AS term
+        FROM base
+    ), wanted AS (
+        SELECT entity, term FROM (SELECT DISTINCT entity, term, left_of, right_of FROM near) GROUP BY ALL HAVING count(*) >= 3
+    ), pairs AS (SELECT entity, term, count(DISTINCT text) AS t_both FROM near JOIN wanted USING (entity, term) GROUP BY ALL),
+    words AS MATERIALIZED (
+        SELECT DISTINCT text, lower(word) AS term FROM (SELECT text, unnest({_WORDS.format("text")}) AS word FROM texts)
+        WHERE lower(word) IN (SELECT term FROM pairs)
+    ), of_term AS (SELECT term, count(*) AS of_term FROM words GROUP BY ALL),
+    of_entity AS (SELECT entity, count(DISTINCT text) AS of_entity FROM base GROUP BY ALL),
+    terms AS (
+        SELECT DISTINCT term FROM pairs JOIN of_term USING (term) JOIN of_entity USING (entity), (SELECT count(*) AS n FROM texts)
+        WHERE n > of_entity AND ln(n * t_both / (of_term * of_entity)) / ln(n / of_entity) >= 0.9
+    ), token AS (
+        SELECT text, hits[i] AS v, sum(len(gaps[i]) + len(hits[i])) OVER (PARTITION BY text ORDER BY i) AS e
+        FROM (
+            SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM (
+                SELECT text, regexp_extract_all(text, '[\p{{L}}\p{{N}}''_-]+') AS hits, regexp_split_to_array(text, '[\p{{L}}\p{{N}}''_-]+') AS gaps
+                FROM texts WHERE text IN (SELECT text FROM words JOIN terms USING (term))
+            )
+        )
+    ), added AS (
+        SELECT text, 4 AS rank, 'term' AS kind, (e - len(v))::BIGINT AS b, e::BIGINT AS e FROM token
+        WHERE len(v) > 2 AND regexp_matches(v, '^\p{{L}}') AND lower(v) IN (SELECT term FROM terms)
+            AND NOT EXISTS (SELECT 1 FROM base WHERE base.text = token.text AND base.b < token.e AND token.e - len(v) < base.e)
+    ), spans AS (
+        SELECT text, rank, kind, b, e FROM base UNION ALL SELECT text, rank, kind, b, e FROM added
+    ), listed AS (
+        SELECT text, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
+            count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
+            string_agg(kind || ':' || b || ':' || e, ',' ORDER BY b, rank) FILTER (kind <> 'term') AS base,
+            string_agg(kind || ':' || b || ':' || e, ',' ORDER BY b, rank) AS spans
+        FROM spans GROUP BY text
+    )
+    SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
+        coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+    FROM documents LEFT JOIN listed ON listed.text = coalesce(documents.text, '')
+    """
+)
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return privacy.personal_spans(table(spark, sf_dir, "documents"))
