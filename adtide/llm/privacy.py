@@ -184,13 +184,18 @@ def base_spans(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def disclosures(found: DataFrame, texts: DataFrame, support: int = SUPPORT) -> tuple[DataFrame, DataFrame]:
-    """(entity, term, disclosure, stem_disclosure) of every candidate, and (term, _key) where candidates stand.
+def _stem_key(term: Column) -> Column:
+    """First letters of a term; the star is in no term."""
+    return F.concat(F.left(term, F.lit(STEM)), F.lit("*"))
 
-    ``found`` is a stored result of ``base_spans`` and ``texts`` has (_key, _text). Counts are of
-    distinct texts. Mentions are merged before they are counted, so an entity or a text with very
-    many copies is one row for each of its terms by then. All words of the corpus pass once, past
-    the first letters of the candidates; what is left is counted.
+
+def disclosures(found: DataFrame, texts: DataFrame, support: int = SUPPORT) -> DataFrame:
+    """(entity, term, disclosure, stem_disclosure) of every candidate.
+
+    ``found`` is a stored result of ``base_spans`` and ``texts`` has (_key, _text), once for each
+    text. Mentions are merged before they are counted, so an entity or a text with very many copies
+    is one row for each of its terms by then. The words of the corpus are summed in the tasks that
+    read them; sums meet the candidates.
     """
     near = found.select("_key", F.explode("_mentions").alias("m")).select(
         "_key", F.col("m.entity").alias("entity"), F.col("m.context").alias("context"), F.explode("m.terms").alias("term")
@@ -199,7 +204,7 @@ def disclosures(found: DataFrame, texts: DataFrame, support: int = SUPPORT) -> t
     wanted = contexts.where(F.col("contexts") >= support).select("entity", "term")
     keyed = near.select("entity", "term", "_key").distinct()
     both = stage(keyed.join(wanted, ["entity", "term"]).groupBy("entity", "term").agg(F.count("*").alias("t_both")), "pairs")
-    stem = F.left(F.col("term"), F.lit(STEM))
+    stem = _stem_key(F.col("term"))
     stems_both = (
         keyed.select("entity", stem.alias("stem"), "_key").distinct()
         .join(both.select("entity", stem.alias("stem")).distinct(), ["entity", "stem"])
@@ -209,15 +214,13 @@ def disclosures(found: DataFrame, texts: DataFrame, support: int = SUPPORT) -> t
         found.select("_key", F.explode("_mentions.entity").alias("entity")).distinct()
         .groupBy("entity").agg(F.count("*").alias("of_entity"))
     )
-    n_texts = found.select("_key").distinct().agg(F.count("*").alias("n_texts"))
-
-    words = texts.select("_key", F.explode(_terms(F.col("_text"))).alias("term")).withColumn("stem", stem)
-    words = words.join(both.select(stem.alias("stem")).distinct(), "stem", "left_semi").distinct()
-    words = stage(words, "words")
-    of_stem = words.select("stem", "_key").distinct().groupBy("stem").agg(F.count("*").alias("of_stem"))
-    standing = words.join(both.select("term").distinct(), "term", "left_semi").select("term", "_key")
-    of_term = standing.groupBy("term").agg(F.count("*").alias("of_term"))
-
+    both_ways = F.array_distinct(F.flatten(F.transform(_terms(F.col("_text")), lambda t: F.array(t, _stem_key(t)))))
+    counts = texts.select(F.explode(both_ways).alias("word")).groupBy("word").agg(F.count("*").alias("of"))
+    needed = both.select(F.explode(F.array(F.col("term"), stem)).alias("word")).distinct()
+    counts = stage(counts.join(needed, "word", "left_semi"), "counts")
+    of_term = counts.select(F.col("word").alias("term"), F.col("of").alias("of_term"))
+    of_stem = counts.select(F.col("word").alias("stem"), F.col("of").alias("of_stem"))
+    n_texts = texts.agg(F.count("*").alias("n_texts"))
     n = n_texts.scalar()
     rated = (
         both.withColumn("stem", stem).join(of_entity, "entity").join(of_term, "term").join(of_stem, "stem")
@@ -227,10 +230,7 @@ def disclosures(found: DataFrame, texts: DataFrame, support: int = SUPPORT) -> t
     share = lambda pair, alone: F.when(
         known > 0, F.log(F.col("n_texts") * F.col(pair) / (F.col(alone) * F.col("of_entity"))) / known
     ).otherwise(0.0)
-    return (
-        rated.select("entity", "term", share("t_both", "of_term").alias("disclosure"), share("s_both", "of_stem").alias("stem_disclosure")),
-        standing,
-    )
+    return rated.select("entity", "term", share("t_both", "of_term").alias("disclosure"), share("s_both", "of_stem").alias("stem_disclosure"))
 
 
 def revealing_terms(rated: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -245,9 +245,9 @@ def _marked(df: DataFrame, id_col: str, text_col: str, support: int, threshold:
     """Stored base spans of the rows, and (_key, _added) of the texts where revealing terms stand."""
     found = stage(base_spans(df, id_col, text_col).drop("_text"), "found")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    texts = df.select(_text_key(text).alias("_key"), text.alias("_text"))
-    rated, standing = disclosures(found, texts, support)
-    terms = revealing_terms(rated, threshold)
+    texts = stage(df.select(_text_key(text).alias("_key"), text.alias("_text")).dropDuplicates(["_key"]), "texts")
+    terms = stage(revealing_terms(disclosures(found, texts, support), threshold), "terms")
+    standing = texts.select("_key", F.explode(_terms(F.col("_text"))).alias("term"))
     lists = stage(
         standing.join(terms, "term").groupBy("_key").agg(F.collect_list(F.struct("term", "general")).alias("_terms")), "revealed"
     )  # one text's own words
@@ -260,7 +260,7 @@ def _marked(df: DataFrame, id_col: str, text_col: str, support: int, threshold:
             F.exists("_terms", lambda t: t["term"] == F.lower(m["value"])).alias("reveals"),
         ),
     )
-    added = named.select("_key", F.filter(placed, lambda m: m["reveals"]).alias("_added")).dropDuplicates(["_key"])
+    added = named.select("_key", F.filter(placed, lambda m: m["reveals"]).alias("_added"))
     return found, stage(added, "added")
 
 
