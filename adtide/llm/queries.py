@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtide.llm import dedup, extraction, hmm, langid, mixing, ngram_join, packing, privacy, quality, toxicity, vector_codes, warc
+from adtide.llm import dedup, extraction, hmm, langid, mixing, ngram_join, packing, phrases, privacy, quality, toxicity, vector_codes, warc
 from adtide.llm.common import id_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -257,3 +257,42 @@ _WORDS = (
 )
 def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return privacy.personal_spans(table(spark, sf_dir, "documents"))
+
+
+def _grams(k: int) -> str:
+    words = " || ' ' || ".join(f"w[i + {j}]" for j in range(k))
+    return f"SELECT lang, {k} AS k, {words} AS phrase FROM (SELECT lang, w, unnest(range(1, len(w) - {k - 2})) AS i FROM pieces WHERE len(w) >= {k})"
+
+
+@query(
+    rf"""
+    WITH pieces AS MATERIALIZED (
+        SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+            SELECT coalesce(lang, 'und') AS lang,
+                unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents
+        )
+    ), f AS MATERIALIZED (
+        SELECT lang, k, phrase, count(*)::HUGEINT AS a FROM ({" UNION ALL ".join(_grams(k) for k in range(1, 5))}) GROUP BY ALL HAVING count(*) >= 30
+    ), cuts AS (
+        SELECT lang, phrase, k, a, cut, array_to_string(string_split(phrase, ' ')[: cut], ' ') AS head, array_to_string(string_split(phrase, ' ')[cut + 1 :], ' ') AS tail
+        FROM (SELECT *, unnest(range(1, k)) AS cut FROM f WHERE k > 1)
+    ), scored AS (
+        SELECT c.lang, c.phrase, c.k, c.a, x.a AS l, y.a AS r, (2000000 * c.a) // (x.a + y.a) AS score
+        FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = head JOIN f y ON y.lang = c.lang AND y.phrase = tail
+        QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, cut) = 1
+    ), inner_ AS (
+        SELECT lang, a, array_to_string(string_split(phrase, ' ')[i : i + m - 1], ' ') AS phrase
+        FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM f WHERE k > 2))
+    ), kept AS (
+        SELECT s.* FROM scored s LEFT JOIN (SELECT lang, phrase, max(a) AS most FROM inner_ GROUP BY ALL) i ON i.lang = s.lang AND i.phrase = s.phrase
+        WHERE most IS NULL OR 100 * most < 80 * s.a
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept
+    )
+    SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+    FROM ranked JOIN (SELECT lang, sum(len(w)) AS n FROM pieces GROUP BY ALL) USING (lang) WHERE rank <= 2000
+    """
+)
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.top_phrases(table(spark, sf_dir, "documents"))
