@@ -51,15 +51,6 @@ def _place(h: np.ndarray) -> np.ndarray:
     return ((h ^ (h >> np.uint64(32))) & np.uint64(PLACES - 1)).astype(np.int64)
 
 
-class _Level:
-    """Phrases of one length: where they stand, who they are, and when they reached the threshold."""
-
-    def __init__(self, ids: np.ndarray, hashes: np.ndarray, texts: Callable[[np.ndarray], pa.Array], reached: np.ndarray):
-        self.ids, self.hashes, self.texts = ids, hashes, texts
-        self.places = _place(hashes)
-        self.reached = reached[self.places].astype(np.int64)
-
-
 def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Row of each word, its code (-1 ends a piece) and the words that the codes name."""
     # lower case comes second: on a slice of an array the kernel miscounts its offsets
@@ -76,79 +67,69 @@ def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     return rows[there], codes, coded.dictionary
 
 
-def _counted(langs: pa.Array, texts: pa.Array, scan: int, shards: int, reached: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _counted(langs: pa.Array, texts: pa.Array, scan: int, shards: int, table: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Counts of the phrases that are active in this scan, each once, and the words of each language."""
     rows, codes, names = _tokens(texts)
-    if not len(codes):
-        return
     lang = langs.dictionary_encode()
     lang_of = lang.indices.to_numpy().astype(np.int64)[rows]
     word = codes >= 0
+    if not word.any():
+        return
     size = len(names)
-    ids = np.full(len(codes), -1, dtype=np.int64)
+    ids = np.zeros(len(codes), dtype=np.int64)
     ids[word], distinct = pd.factorize(lang_of[word] * size + codes[word])
-    if not len(distinct):
-        return
+    lang_id, name_id = distinct // size, distinct % size
     lang_hash = pd.util.hash_array(np.array(lang.dictionary.to_pylist(), dtype=object), categorize=False)
     name_hash = pd.util.hash_array(np.array(names.to_pylist(), dtype=object), categorize=False)
-    lang_id, name_id = distinct // size, distinct % size
+    hash_of = _mix(lang_hash[lang_id], name_hash[name_id])
 
-    def emit(level: _Level, k: int, langs_of: np.ndarray, active: np.ndarray) -> pa.RecordBatch | None:
-        """Rows of the phrases whose cycle this scan is in."""
-        n = np.bincount(level.ids[level.ids >= 0], minlength=len(level.hashes))
-        now = np.flatnonzero((n > 0) & (active <= scan) & (scan < active + shards))
-        if not len(now):
-            return None
+    def batch(k: int, of: np.ndarray, phrase: pa.Array, active: np.ndarray, place: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
             [
-                lang.dictionary.take(pa.array(langs_of[now])).cast(pa.string()), level.texts(now).cast(pa.string()),
-                pa.array(np.full(len(now), k), pa.int8()), pa.array(active[now], pa.int8()),
-                pa.array(level.places[now], pa.int32()), pa.array(n[now], pa.int64()),
+                lang.dictionary.take(pa.array(of)).cast(pa.string()), phrase.cast(pa.string()), pa.array(np.full(len(of), k), pa.int8()),
+                pa.array(active, pa.int8()), pa.array(place, pa.int32()), pa.array(n, pa.int64()),
             ],
             names=["lang", "phrase", "k", "active", "place", "n"],
         )
 
-    level = _Level(ids, _mix(lang_hash[lang_id], name_hash[name_id]), lambda at: names.take(pa.array(name_id[at])), reached)
-    words = level
-    batch = emit(level, 1, lang_id, np.zeros(len(distinct), dtype=np.int64))
-    if batch is not None:
+    if scan < shards:
+        none = np.zeros(len(distinct), dtype=np.int64)
+        n = np.bincount(ids[word], minlength=len(distinct))
+        yield batch(1, lang_id, names.take(pa.array(name_id)), none, _place(hash_of), n)
         total = np.bincount(lang_of[word], minlength=len(lang.dictionary))
         have = np.flatnonzero(total)
-        yield batch
-        yield pa.RecordBatch.from_arrays(
-            [
-                lang.dictionary.take(pa.array(have)).cast(pa.string()), pa.array([""] * len(have)), pa.array([0] * len(have), pa.int8()),
-                pa.array([0] * len(have), pa.int8()), pa.array([-1] * len(have), pa.int32()), pa.array(total[have], pa.int64()),
-            ],
-            names=["lang", "phrase", "k", "active", "place", "n"],
-        )
-    langs_of = lang_id
+        yield batch(0, have, pa.array([""] * len(have)), none[: len(have)], none[: len(have)] - 1, total[have])
+
+    hashes = hash_of[ids]
+    last_hash = hashes
+    # for each place in the texts: the scan in which the phrase that starts there reached the threshold
+    reached = np.where(word, table[_place(hash_of)][ids], NEVER)
     for k in range(2, LONGEST + 1):
         # the phrase at i: that of k - 1 words at i and the one at i + 1, both past the threshold
-        first, second = level.ids[:-1], level.ids[1:]
-        at = np.flatnonzero((first >= 0) & (second >= 0) & (rows[: len(first)] == rows[1 : 1 + len(first)]))
-        at = at[(level.reached[first[at]] < NEVER) & (level.reached[second[at]] < NEVER)]
+        both = np.maximum(reached[:-1], reached[1:])
+        at = np.flatnonzero((both < NEVER) & (rows[: len(both)] == rows[k - 1 :]))
         if not len(at):
             return
-        last = words.ids[at + k - 1]
-        codes_k, pairs = pd.factorize(first[at] * len(words.hashes) + last)
-        where = np.zeros(len(pairs), dtype=np.int64)
-        where[codes_k] = at  # any place where the phrase stands
-        head, tail = pairs // len(words.hashes), pairs % len(words.hashes)
-        ids_k = np.full(len(first), -1, dtype=np.int64)
-        ids_k[at] = codes_k
-        shorter, follow = level, level.ids[where + 1]
-        made = lambda at, s=shorter, h=head, t=tail: pc.binary_join_element_wise(
-            s.texts(h[at]).cast(pa.large_string()), words.texts(t[at]).cast(pa.large_string()), pa.scalar(" ", pa.large_string())
-        )
-        level = _Level(ids_k, _mix(shorter.hashes[head], words.hashes[tail]), made, reached)
-        langs_of = langs_of[head]
-        active = np.maximum(shorter.reached[head], shorter.reached[follow]) + 1
+        active = both[at].astype(np.int64) + 1
+        hashed = _mix(hashes[at], last_hash[at + k - 1])
+        place = _place(hashed)
+        now = np.flatnonzero((active <= scan) & (scan < active + shards))
+        if len(now):
+            where = at[now]
+            key = ids[where] * len(distinct) + ids[where + 1]
+            for j in range(2, k):
+                key = pd.factorize(key)[0] * len(distinct) + ids[where + j]
+            key, found = pd.factorize(key)
+            one = np.zeros(len(found), dtype=np.int64)
+            one[key] = np.arange(len(now))  # any occurrence of each
+            words = [names.take(pa.array(name_id[ids[where[one] + j]])).cast(pa.large_string()) for j in range(k)]
+            phrase = pc.binary_join_element_wise(*words, pa.scalar(" ", pa.large_string()))
+            yield batch(k, lang_id[ids[where[one]]], phrase, active[now][one], place[now][one], np.bincount(key, minlength=len(found)))
         # no phrase reaches the threshold before it is counted, whatever else shares its place
-        level.reached = np.maximum(level.reached, active)
-        batch = emit(level, k, langs_of, active)
-        if batch is not None:
-            yield batch
+        reached = np.full(len(both), NEVER)
+        reached[at] = np.minimum(np.maximum(table[place], active), NEVER)
+        hashes = np.zeros(len(both), dtype=np.uint64)
+        hashes[at] = hashed
 
 
 def _scan_task(scan: int, shards: int, reached) -> Callable:
