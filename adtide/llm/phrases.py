@@ -38,7 +38,10 @@ PLACES = 1 << 24
 SLICE = 6_000_000
 NEVER = 255
 ENDS = r"[.,;:!?\x0A-\x0D]+"
-COUNTS = "lang string, phrase string, k tinyint, active tinyint, place int, n bigint"
+#: ``name`` is the language, a line feed (in no phrase) and the phrase; ``about`` is its place, the
+#: scan it became active in and its length. Few columns, since the rows are many.
+COUNTS = "name string, about bigint, n bigint"
+ACTIVE, LENGTH = 32, 40
 
 
 def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -83,22 +86,21 @@ def _counted(langs: pa.Array, texts: pa.Array, scan: int, shards: int, table: np
     name_hash = pd.util.hash_array(np.array(names.to_pylist(), dtype=object), categorize=False)
     hash_of = _mix(lang_hash[lang_id], name_hash[name_id])
 
-    def batch(k: int, of: np.ndarray, phrase: pa.Array, active: np.ndarray, place: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [
-                lang.dictionary.take(pa.array(of)).cast(pa.string()), phrase.cast(pa.string()), pa.array(np.full(len(of), k), pa.int8()),
-                pa.array(active, pa.int8()), pa.array(place, pa.int32()), pa.array(n, pa.int64()),
-            ],
-            names=["lang", "phrase", "k", "active", "place", "n"],
-        )
+    def batch(k: int, of: np.ndarray, words: list[np.ndarray], active: np.ndarray, place: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        langs_of = lang.dictionary.take(pa.array(of)).cast(pa.large_string())
+        phrase = [names.take(pa.array(w)).cast(pa.large_string()) for w in words] or [pa.array([""] * len(of), pa.large_string())]
+        sep = lambda c: pa.scalar(c, pa.large_string())
+        name = pc.binary_join_element_wise(langs_of, pc.binary_join_element_wise(*phrase, sep(" ")), sep("\n"))
+        about = place + (active << ACTIVE) + (k << LENGTH)
+        return pa.RecordBatch.from_arrays([name.cast(pa.string()), pa.array(about, pa.int64()), pa.array(n, pa.int64())], names=["name", "about", "n"])
 
     if scan < shards:
         none = np.zeros(len(distinct), dtype=np.int64)
         n = np.bincount(ids[word], minlength=len(distinct))
-        yield batch(1, lang_id, names.take(pa.array(name_id)), none, _place(hash_of), n)
+        yield batch(1, lang_id, [name_id], none, _place(hash_of), n)
         total = np.bincount(lang_of[word], minlength=len(lang.dictionary))
         have = np.flatnonzero(total)
-        yield batch(0, have, pa.array([""] * len(have)), none[: len(have)], none[: len(have)] - 1, total[have])
+        yield batch(0, have, [], none[: len(have)], none[: len(have)], total[have])
 
     hashes = hash_of[ids]
     last_hash = hashes
@@ -122,9 +124,8 @@ def _counted(langs: pa.Array, texts: pa.Array, scan: int, shards: int, table: np
             key, found = pd.factorize(key)
             one = np.zeros(len(found), dtype=np.int64)
             one[key] = np.arange(len(now))  # any occurrence of each
-            words = [names.take(pa.array(name_id[ids[where[one] + j]])).cast(pa.large_string()) for j in range(k)]
-            phrase = pc.binary_join_element_wise(*words, pa.scalar(" ", pa.large_string()))
-            yield batch(k, lang_id[ids[where[one]]], phrase, active[now][one], place[now][one], np.bincount(key, minlength=len(found)))
+            words = [name_id[ids[where[one] + j]] for j in range(k)]
+            yield batch(k, lang_id[ids[where[one]]], words, active[now][one], place[now][one], np.bincount(key, minlength=len(found)))
         # no phrase reaches the threshold before it is counted, whatever else shares its place
         reached = np.full(len(both), NEVER)
         reached[at] = np.minimum(np.maximum(table[place], active), NEVER)
@@ -153,7 +154,8 @@ def _mark(places: DataFrame, reached: np.ndarray, scan: int) -> bool:
 
     Tasks merge what shares a word of 64 places, so the driver reads one row for each at most.
     """
-    bits = places.groupBy(F.shiftright("place", 6).alias("w")).agg(
+    place = F.col("about").bitwiseAND(F.lit(PLACES - 1))
+    bits = places.select(place.cast("int").alias("place")).groupBy(F.shiftright("place", 6).alias("w")).agg(
         F.bit_or(F.expr("shiftleft(1L, place & 63)")).alias("bits")
     )
     got = bits.toArrow()
@@ -186,21 +188,22 @@ def frequent_phrases(df: DataFrame, text: str, lang: str, threshold: int = THRES
         shard = docs.where(F.col("shard") == scan % shards).select("lang", "text")
         found = shard.mapInArrow(_scan_task(scan, shards, shared), COUNTS).withColumn("seen", F.lit(None).cast("int"))
         both = found if open_ is None else found.unionByName(open_)
-        counted = both.groupBy("lang", "phrase", "k", "active", "place").agg(F.sum("n").alias("n"), F.max("seen").alias("seen"))
-        counted = stage(
-            counted.withColumn("seen", F.coalesce("seen", F.when((F.col("n") >= threshold) & (F.col("k") > 0), F.lit(scan)))), "scan"
-        )
+        counted = both.groupBy("name", "about").agg(F.sum("n").alias("n"), F.max("seen").alias("seen"))
+        counted = stage(counted.withColumn("seen", F.coalesce("seen", F.when(F.col("n") >= threshold, F.lit(scan)))), "scan")
         shared.unpersist()
-        ends = F.col("active") + (shards - 1)
-        done.append(counted.where((ends == scan) & ((F.col("n") >= threshold) | (F.col("k") == 0))).select("lang", "phrase", "k", "n"))
+        ends = F.shiftright("about", ACTIVE).bitwiseAND(F.lit(255)) + (shards - 1)
+        length = F.shiftright("about", LENGTH).cast("int")
+        done.append(counted.where((ends == scan) & ((F.col("n") >= threshold) | (length == 0))).select("name", length.alias("k"), "n"))
         open_ = counted.where(ends > scan)
         reached = reached.copy()
-        if _mark(counted.where((F.col("seen") == scan) & (F.col("k") < LONGEST)), reached, scan):
+        if _mark(counted.where((F.col("seen") == scan) & length.between(1, LONGEST - 1)), reached, scan):
             latest = scan
         scan += 1
     for left in done[1:]:
         done[0] = done[0].unionByName(left)
-    return stage(done[0], "frequent")
+    phrase = F.substring_index("name", "\n", -1)
+    lang_of = F.left(F.col("name"), F.length("name") - F.length(phrase) - 1)
+    return stage(done[0].select(lang_of.alias("lang"), phrase.alias("phrase"), "k", "n"), "frequent")
 
 
 def score_phrases(frequent: DataFrame) -> DataFrame:
