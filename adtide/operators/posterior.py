@@ -5,7 +5,7 @@ is one packed row per (panel_id, channel). Draws are placed by (panel_id, chain,
 row is small but stands for weeks x scenarios of work, and a hot panel is spread over all tasks.
 A draw then meets its packed series, is expanded to weeks inside the task and summed back there.
 With a broadcast series every later group by draw keeps that placement and shuffles nothing more;
-with a large one the salted join of ``spread_join`` takes over and only per-draw sums move.
+with a large one the salted join of ``skew_join`` takes over and only per-draw sums move.
 """
 
 from __future__ import annotations
@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from ..functions import exponential_saturation, lag_weights, safe_ratio
 from ..functions.media import MAX_LAG
-from ..sources.files import spread_rows
+from ..sources.files import spread_rows, stage
 from .carryover import weighted_lags
-from .ordered import credible_interval, exact_quantiles, spread_join
+from .ordered import credible_interval, exact_quantiles, skew_join
 
 DRAW = ["panel_id", "chain", "draw"]
 
@@ -37,7 +37,7 @@ def draw_adstock(
     """
     names = [f"_w{i}" for i in range(max_lag)]
     weights = [w.alias(n) for w, n in zip(lag_weights(F.col("decay"), max_lag), names)]
-    rows = spread_join(
+    rows = skew_join(
         by_draw(draws).select("*", *weights), series, ["panel_id", "channel"], ["chain", "draw"]
     )
     if scenarios is not None:
@@ -153,7 +153,7 @@ def expected_by_draw(
         *DRAW, "t",
         (F.col("beta") * exponential_saturation(F.col("adstock"), F.col("sat_k"))).alias("part"),
     )
-    weeks = spread_join(
+    weeks = skew_join(
         by_draw(globals_),
         weekly.select("panel_id", "weeks"),
         ["panel_id"],
@@ -200,10 +200,10 @@ def split_rhat(params: DataFrame) -> DataFrame:
     """Split R-hat per (panel_id, param): chains are halved at the middle draw index, then the
     variance between halves is compared with the variance inside them. Values are not
     rank-normalised. Two aggregates; no draw leaves its task unsummed."""
-    ends = params.groupBy("panel_id", "chain").agg(F.max("draw").alias("_last"))
+    ends = stage(params.groupBy("panel_id", "chain").agg(F.max("draw").alias("_last"), F.count("*").alias("_rows")), "ends")
     half = (F.col("draw") * 2 > F.col("_last")).cast("int")
     halves = (
-        spread_join(params, ends, ["panel_id", "chain"], ["draw", "param"])
+        skew_join(params, ends.drop("_rows"), ["panel_id", "chain"], ["draw", "param"], counts=ends)
         .groupBy("panel_id", "param", "chain", half.alias("half"))
         .agg(
             F.count("*").alias("n"),
