@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import fourier_terms, hill_saturation, safe_ratio
 from .carryover import adstock_geometric
 from .panel import panel_window, series_window, trend_term
+from .segments import SEGMENT, segmented_lag
 
 # Task functions travel by value, so executors need no installed copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -202,13 +203,13 @@ def significant(p_value: Column, level: float = 0.05) -> Column:
 # ------------------------------------------------------------------ fit quality
 
 
-def fit_stats(residuals: DataFrame, params: int) -> DataFrame:
+def fit_stats(residuals: DataFrame, params: int, segment: int = SEGMENT) -> DataFrame:
     """Per panel, from rows (panel_id, t, actual, residual): R2, adjusted R2, AIC, BIC,
-    Durbin-Watson and lag-1 correlation of the residuals."""
-    order = panel_window().orderBy("t")
+    Durbin-Watson and lag-1 correlation of the residuals. ``t`` counts from 0 without gaps; a task
+    holds ``segment`` steps of a panel."""
     e, prev = F.col("residual"), F.col("_prev")
     summed = (
-        residuals.withColumn("_prev", F.lag("residual").over(order))
+        segmented_lag(residuals, ["panel_id"], "t", "residual", "_prev", segment)
         .groupBy("panel_id")
         .agg(
             F.count("*").alias("n"),
