@@ -10,7 +10,7 @@ from itertools import combinations_with_replacement
 
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -118,20 +118,74 @@ def student_quantile(p_two_sided: float, dof: float) -> float:
     return t
 
 
+#: Triangular factors that are merged together.
+FAN = 64
+#: Singular values of the scaled terms below this share of the largest count as zero.
+RANK = 1e-11
+
+
+def _stacked(parts: list[np.ndarray]) -> np.ndarray:
+    """The triangular factor of rows, or of factors, on top of each other."""
+    rows = np.vstack(parts)
+    if len(rows) < rows.shape[1]:  # a square factor whatever the number of rows
+        rows = np.vstack([rows, np.zeros((rows.shape[1] - len(rows), rows.shape[1]))])
+    return np.linalg.qr(rows, mode="r")
+
+
+def triangular_factors(df: DataFrame, key: str, xs: list[str], y: str) -> DataFrame:
+    """(key, n, r): row count and the factor R of the QR decomposition of [1, xs, y], one row per key.
+
+    Every task reduces the rows it holds to one factor for each key, in blocks as they arrive; the
+    factors of a key, (k+2)^2 numbers each, are merged in a tree of groups of ``FAN`` tasks. The
+    rows themselves are never squared and never shuffled.
+    """
+    width = len(xs) + 2
+    key_type = df.schema[key].dataType.simpleString()
+    schema = f"{key} {key_type}, part int, n bigint, r array<double>"
+
+    def reduce_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part = TaskContext.get().partitionId()
+        held: dict = {}
+        flush = lambda: pd.DataFrame(
+            [(k, part, n, r.ravel()) for k, (n, r) in held.items()], columns=[key, "part", "n", "r"]
+        )
+        for batch in batches:
+            batch = batch.dropna(subset=[*xs, y])
+            for value, rows in batch.groupby(key, dropna=False, sort=False):
+                value = None if pd.isna(value) else value
+                block = np.column_stack([np.ones(len(rows)), rows[[*xs, y]].to_numpy(dtype=float)])
+                n, r = held.get(value, (0, np.zeros((0, width))))
+                held[value] = (n + len(rows), _stacked([r, block]))
+            if len(held) > 10_000:  # a task may see very many keys
+                yield flush()
+                held.clear()
+        if held:
+            yield flush()
+
+    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            factors = [_stacked([np.asarray(r).reshape(-1, width) for r in rs]).ravel() for rs in batch["rs"]]
+            yield pd.DataFrame({key: batch[key], "part": batch["part"], "n": batch["n"], "r": factors})
+
+    partial = df.select(key, *[F.col(c).cast("double").alias(c) for c in (*xs, y)]).mapInPandas(reduce_rows, schema)
+    for part in (F.floor(F.col("part") / FAN).cast("int"), F.lit(0)):
+        grouped = partial.groupBy(key, part.alias("part")).agg(F.sum("n").alias("n"), F.collect_list("r").alias("rs"))
+        partial = grouped.mapInPandas(merge, schema)
+    return partial.select(key, "n", "r")
+
+
 def ols_fit(df: DataFrame, key: str, xs: list[str], y: str) -> DataFrame:
     """(key, term, coef, std_error, t_value, p_value, ci_lo, ci_hi, n, r2, adj_r2, aic, bic, sse).
 
-    The rows are reduced to moments in one grouped aggregate; only those (k+1)^2/2 numbers per key
-    meet Python, in Arrow batches of many keys. Terms without variance get coefficient 0 and no
-    error. AIC, BIC and degrees of freedom count the rank of the terms, so collinear ones count once,
-    and not the error variance.
+    Solved from the triangular factor of the rows, so a condition number of the terms costs half the
+    digits that it would through sums of squares. Rows with a null term or ``y`` are left out. Terms
+    without variance get coefficient 0 and no error. AIC, BIC and degrees of freedom count the rank
+    of the terms, so collinear ones count once, and not the error variance.
     """
-    k = len(xs) + 1
-    upper = np.triu_indices(len(xs) + 1)
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            frames = [_solve_one(r.n, r.means, r.covs, xs, upper, k) for r in batch.itertuples()]
+            frames = [_solve_one(int(r.n), np.asarray(r.r).reshape(len(xs) + 2, -1), xs) for r in batch.itertuples()]
             for value, frame in zip(batch[key], frames):
                 frame.insert(0, key, value)
             if frames:
@@ -143,30 +197,32 @@ def ols_fit(df: DataFrame, key: str, xs: list[str], y: str) -> DataFrame:
         "p_value double, ci_lo double, ci_hi double, n bigint, r2 double, adj_r2 double, "
         "aic double, bic double, sse double"
     )
-    return moments(df, key, xs, y).mapInPandas(solve, schema)
-
-
-def _solve_one(n, means, covs, xs, upper, k) -> pd.DataFrame:
-    cov = np.zeros((k, k))
-    cov[upper] = covs
-    cov = cov + np.triu(cov, 1).T
-    mean = np.asarray(means)
-    scale = np.sqrt(np.diag(cov))
-    live = np.flatnonzero(scale[:-1] > 0)
-    s = scale[live]
-    corr = cov[np.ix_(live, live)] / np.outer(s, s)
-    inv = np.linalg.pinv(corr, rcond=1e-12, hermitian=True) / np.outer(s, s)
+    return triangular_factors(df, key, xs, y).mapInPandas(solve, schema)
+
+
+def _solve_one(n: int, r: np.ndarray, xs: list[str]) -> pd.DataFrame:
+    """The fit from R of [1, xs, y]: below its first row stands the factor of the centred columns."""
+    k = len(xs) + 1
+    mean = r[0, 1:] / r[0, 0]
+    centred, target, rest = r[1:k, 1:k], r[1:k, k], r[k, k]
+    scale = np.linalg.norm(centred, axis=0)
+    live = np.flatnonzero(scale > 1e-12 * np.abs(r[0, 1:k]))
+    u, sv, vt = np.linalg.svd(centred[:, live] / scale[live], full_matrices=False)
+    ok = sv > RANK * sv.max(initial=0.0)
+    half_inv = vt[ok].T / sv[ok]
     b = np.zeros(k - 1)
-    b[live] = inv @ cov[live, -1]
+    b[live] = half_inv @ (u[:, ok].T @ target) / scale[live]
+    inv = half_inv @ half_inv.T / np.outer(scale[live], scale[live])
     const = mean[-1] - b @ mean[:-1]
-    sst = n * cov[-1, -1]
-    sse = max(n * (cov[-1, -1] - b @ cov[:-1, -1]), 0.0)
-    params = int(np.linalg.matrix_rank(corr, tol=1e-12 * live.size, hermitian=True)) + 1 if live.size else 1
-    dof = int(n - params)
+    sst = float(target @ target + rest**2)
+    miss = target - centred @ b
+    sse = float(miss @ miss + rest**2)
+    params = int(ok.sum()) + 1
+    dof = n - params
     s2 = sse / dof if dof > 0 else np.nan
     var = np.full(k, np.nan)
-    var[0] = s2 * (1 / n + mean[live] @ inv @ mean[live] / n)
-    var[live + 1] = s2 * np.diag(inv) / n
+    var[0] = s2 * (1 / n + mean[:-1][live] @ inv @ mean[:-1][live])
+    var[live + 1] = s2 * np.diag(inv)
     coef, err = np.concatenate([[const], b]), np.sqrt(var)
     with np.errstate(divide="ignore", invalid="ignore"):
         t = coef / err
@@ -205,7 +261,7 @@ def significant(p_value: Column, level: float = 0.05) -> Column:
 
 def fit_stats(residuals: DataFrame, params: int, segment: int = SEGMENT) -> DataFrame:
     """Per panel, from rows (panel_id, t, actual, residual): R2, adjusted R2, AIC, BIC,
-    Durbin-Watson and lag-1 correlation of the residuals. ``t`` counts from 0 without gaps; a task
+    Durbin-Watson and lag-1 correlation of the residuals. ``t`` counts up without gaps; a task
     holds ``segment`` steps of a panel."""
     e, prev = F.col("residual"), F.col("_prev")
     summed = (

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clip, exponential_saturation, fourier_terms, hill_saturation, safe_ratio
-from ..operators import carryover, panel, regression
+from ..operators import carryover, panel, regression, segments
 from ..operators.panel import panel_window, series_window
 from ..sources.files import stage
 from . import inputs as src
@@ -210,6 +210,15 @@ top AS (
 )
 
 
+@query(_STOCK + "SELECT panel_id, channel, week, round(adstock / top, 8) AS adstock_share FROM top")
+def adstock_segmented(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same carry-over with every series cut into segments of 16 weeks, as long series are."""
+    rows = src.media_panel(spark, sf_dir).select(*KEY, "t", "spend").join(src.channel_params(spark).select("channel", "decay"), "channel")
+    stocked = segments.segmented_sum(rows, ["panel_id", "channel"], "t", "spend", "decay", "adstock", 16)
+    top = F.greatest(F.max("adstock").over(series_window()), F.lit(1.0))
+    return stocked.select(*KEY, F.round(F.col("adstock") / top, 8).alias("adstock_share"))
+
+
 @query(_STOCK + "SELECT panel_id, channel, week, round(adstock / top, 8) AS adstock_share FROM top")
 def adstock_geometric(spark: SparkSession, sf_dir: str) -> DataFrame:
     stocked = carryover.adstock_geometric(
@@ -604,25 +613,44 @@ def roi_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
 _PARAMS = len(CHANNEL_NAMES) + 1
 
 
+def _alone_ctes() -> str:
+    """CTEs ending in ``alone(panel_id, term, own)``: the sum of squares of each channel that the
+    constant and all other channels leave, swept out one after the other."""
+    over, ctes, last = "OVER (PARTITION BY panel_id)", [], len(CHANNEL_NAMES) - 1
+    for name in CHANNEL_NAMES:
+        order, at = [*[c for c in CHANNEL_NAMES if c != name], name], f"o_{name}"
+        ctes.append(f"{at}_0 AS (SELECT panel_id, " + ", ".join(f"{c} - avg({c}) {over} AS {c}" for c in order) + " FROM wide)")
+        for j in range(last):
+            swept = ", ".join(f"{c} - {order[j]} * (sum({c} * {order[j]}) {over} / sum({order[j]} * {order[j]}) {over}) AS {c}" for c in order[j + 1 :])
+            ctes.append(f"{at}_{j + 1} AS (SELECT panel_id, {swept} FROM {at}_{j})")
+    own = " UNION ALL ".join(f"SELECT panel_id, '{c}' AS term, sum({c} * {c}) AS own FROM o_{c}_{last} GROUP BY panel_id" for c in CHANNEL_NAMES)
+    return ",\n" + ",\n".join(ctes) + f",\nalone AS ({own})\n"
+
+
 @query(
     _WIDE.rstrip()
-    + _ols_ctes()
+    + _ols_ctes().rstrip()
+    + _alone_ctes()
     + f"""SELECT panel_id, term, round(coef, 5) AS coef, round(r2, 8) AS r2,
     round(1 - (1 - r2) * (n - 1) / (n - {_PARAMS}), 8) AS adj_r2,
     round(n * (ln(2 * pi() * sse / n) + 1) + 2 * {_PARAMS}, 5) AS aic,
     round(n * (ln(2 * pi() * sse / n) + 1) + ln(n) * {_PARAMS}, 5) AS bic,
+    round(sqrt(sse / (n - {_PARAMS}) / own), 7) AS std_error, round(coef / sqrt(sse / (n - {_PARAMS}) / own), 7) AS t_value,
     true AS p_in_range, true AS inside_interval,
-    count(*) FILTER (coef < 0 AND term <> 'const') OVER (PARTITION BY panel_id) AS negative_roi_channels FROM ols"""
+    count(*) FILTER (coef < 0 AND term <> 'const') OVER (PARTITION BY panel_id) AS negative_roi_channels
+    FROM ols LEFT JOIN alone USING (panel_id, term)"""
 )
 def ols_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Table of the naive fit, with the number of channels with a negative coefficient; p-values and
-    95% intervals, which SQL has no Student distribution for, as checks."""
+    """Table of the naive fit, with the number of channels with a negative coefficient; standard error
+    and t of the channels; p-values and 95% intervals, which SQL has no Student distribution for, as checks."""
     fit = regression.ols_fit(_naive_rows(spark, sf_dir), "panel_id", CHANNEL_NAMES, "revenue")
     negative = F.count_if((F.col("coef") < 0) & (F.col("term") != "const")).over(panel_window())
     significant = regression.significant(F.col("p_value"))
     outside = ~F.lit(0.0).between(F.col("ci_lo"), F.col("ci_hi"))
+    of_channel = lambda c: F.when(F.col("term") != "const", F.round(c, 7)).alias(c)
     return fit.select(
         "panel_id", "term", *rounded(5, "coef"), *rounded(8, "r2", "adj_r2"), *rounded(5, "aic", "bic"),
+        of_channel("std_error"), of_channel("t_value"),
         F.col("p_value").between(0, 1).alias("p_in_range"),
         (F.col("coef").between(F.col("ci_lo"), F.col("ci_hi")) & (significant == outside)).alias("inside_interval"),
         negative.alias("negative_roi_channels"),
@@ -632,12 +660,12 @@ def ols_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     _DESIGN.rstrip()
     + _ols_ctes(_TERMS, "design")
-    + "SELECT panel_id, term, round(coef, 1) AS coef, round(r2, 7) AS r2 FROM ols"
+    + "SELECT panel_id, term, round(coef, 6) AS coef, round(r2, 9) AS r2 FROM ols"
 )
 def mmm_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Regression on the transformed design: coefficients and fit per panel."""
     fit = regression.ols_fit(_design(spark, sf_dir), "panel_id", _TERMS, "revenue")
-    return fit.select("panel_id", "term", *rounded(1, "coef"), *rounded(7, "r2"))
+    return fit.select("panel_id", "term", *rounded(6, "coef"), *rounded(9, "r2"))
 
 
 # the whole chain: design, fit, contributions and ROI with the panel's own coefficients
@@ -656,11 +684,11 @@ def _fitted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return regression.contributions(design, fit, CHANNEL_NAMES, on=["panel_id", "term"])
 
 
-@query(_FITTED + "SELECT panel_id, week, component, round(contribution, 0) + 0.0 AS contribution FROM contrib")
+@query(_FITTED + "SELECT panel_id, week, component, round(contribution, 3) + 0.0 AS contribution FROM contrib")
 def fitted_contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contributions per week under the coefficients fitted on the panel's design."""
     return _fitted(spark, sf_dir).select(
-        "panel_id", "week", "component", (F.round("contribution", 0) + 0.0).alias("contribution")
+        "panel_id", "week", "component", (F.round("contribution", 3) + 0.0).alias("contribution")
     )
 
 
@@ -695,7 +723,8 @@ def naive_durbin_watson(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stage(_naive_rows(spark, sf_dir), "naive_rows")
     fit = regression.ols_fit(rows, "panel_id", CHANNEL_NAMES, "revenue")
     left = regression.residuals(rows, fit, "panel_id", CHANNEL_NAMES, "revenue")
+    weeks = F.floor(F.date_diff("week", F.lit("1970-01-05").cast("date")) / 7)
     stats = regression.fit_stats(
-        left.select("panel_id", F.col("week").alias("t"), F.col("revenue").alias("actual"), "residual"), params=_PARAMS
+        left.select("panel_id", weeks.alias("t"), F.col("revenue").alias("actual"), "residual"), params=_PARAMS
     )
     return stats.select("panel_id", *rounded(8, "durbin_watson", "lag1_corr"))

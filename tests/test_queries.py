@@ -37,12 +37,13 @@ SOLVED = {"ols_fit", "roi_compare", "ols_summary", "mmm_fit", "fitted_contributi
 
 
 @pytest.mark.parametrize("name", sorted(SOLVED))
-def test_python_only_solves_moments(spark, name):
-    """One Python node, fed by an aggregate, and no cross join."""
-    plan = nodes = planned(QUERIES[name](spark, SF))
-    assert len(re.findall(PYTHON, nodes)) == 1
-    after = nodes[nodes.index("MapInPandas") :]
-    assert "Aggregate(keys=[panel_id" in after
+def test_python_only_factors_and_solves(spark, name):
+    """Tasks reduce their rows to factors, a tree of two levels merges them, one step solves; no cross join."""
+    plan = planned(QUERIES[name](spark, SF))
+    assert len(re.findall(PYTHON, plan)) == 4
+    before, after = plan.split("MapInPandas reduce_rows")[0], plan.split("MapInPandas reduce_rows")[1]
+    assert before.count("collect_list(r") >= 2  # factors are merged above
+    assert not re.search(PYTHON, after)  # rows enter Python once
     assert not re.search(r"CartesianProduct|BroadcastNestedLoop", plan)
 
 
