@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from ..functions import exponential_saturation, lag_weights, safe_ratio
 from ..functions.media import MAX_LAG
+from ..functions.normal import probit
 from ..sources.files import spread_rows, stage
 from .carryover import weighted_lags
-from .ordered import credible_interval, exact_quantiles, skew_join
+from .ordered import credible_interval, exact_quantiles, running_totals, skew_join
 
 DRAW = ["panel_id", "chain", "draw"]
 
@@ -196,15 +197,16 @@ def long_parameters(draws: DataFrame, globals_: DataFrame) -> DataFrame:
     return per_channel.unionByName(shared)
 
 
-def split_rhat(params: DataFrame) -> DataFrame:
-    """Split R-hat per (panel_id, param): chains are halved at the middle draw index, then the
-    variance between halves is compared with the variance inside them. Values are not
-    rank-normalised. Two aggregates; no draw leaves its task unsummed."""
+def split_rhat(params: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Split R-hat per (panel_id, param), or per ``by``: chains are halved at the middle draw index,
+    then the variance between halves is compared with the variance inside them. Values are taken as
+    they are; see ``rank_rhat``. Two aggregates; no draw leaves its task unsummed."""
+    by = by or ["panel_id", "param"]
     ends = stage(params.groupBy("panel_id", "chain").agg(F.max("draw").alias("_last"), F.count("*").alias("_rows")), "ends")
     half = (F.col("draw") * 2 > F.col("_last")).cast("int")
     halves = (
         skew_join(params, ends.drop("_rows"), ["panel_id", "chain"], ["draw", "param"], counts=ends)
-        .groupBy("panel_id", "param", "chain", half.alias("half"))
+        .groupBy(*by, "chain", half.alias("half"))
         .agg(
             F.count("*").alias("n"),
             F.avg("value").alias("mean"),
@@ -213,11 +215,40 @@ def split_rhat(params: DataFrame) -> DataFrame:
     )
     within, n = F.avg("var"), F.avg("n")
     pooled = (n - 1) / n * within + F.var_samp("mean")
-    return halves.groupBy("panel_id", "param").agg(
+    return halves.groupBy(*by).agg(
         F.sqrt(F.try_divide(pooled, within)).alias("rhat"), F.count("*").alias("halves")
     )
 
 
+def rank_normalised(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """``df`` with ``value`` replaced by the normal quantile of (rank - 3/8) / (n + 1/4) in its group;
+    equal values share their middle rank. Rows with a null value are left out.
+
+    Ranks come from running totals over ranges of values, so no group is ordered in one task.
+    """
+    rows = stage(df.where(F.col(value).isNotNull()), "ranked")
+    totals = running_totals(rows.withColumn("_n", F.lit(1)), keys, value, ["_n"])
+    middle = F.col("_n_cum") - (F.col("_n") - 1) / 2
+    scored = totals.select(*keys, value, ((middle - 0.375) / (F.col("_n_total") + 0.25)).alias("_p"))
+    return rows.join(scored, [*keys, value]).withColumn(value, probit("_p")).drop("_p")
+
+
+def rank_rhat(params: DataFrame) -> DataFrame:
+    """(panel_id, param, rhat, halves): the larger of split R-hat over rank-normalised values, which
+    sees chains in different places, and over rank-normalised distances from the median, which sees
+    chains of different width. Finite for heavy tails, where plain R-hat is not."""
+    keys = ["panel_id", "param"]
+    present = stage(params.where(F.col("value").isNotNull()).select(*keys, "chain", "draw", "value"), "params")
+    middle = exact_quantiles(present, keys, "value", {"_mid": 0.5}).select(*keys, "_mid", F.col("n").alias("_rows"))
+    middle = stage(middle, "medians")
+    rows = skew_join(present, middle.drop("_rows"), keys, ["chain", "draw"], counts=middle)
+    kind = lambda name, value: F.struct(F.lit(name).alias("kind"), value.alias("value"))
+    both = F.inline(F.array(kind("bulk", F.col("value")), kind("tail", F.abs(F.col("value") - F.col("_mid")))))
+    normal = rank_normalised(rows.select(*keys, "chain", "draw", both), [*keys, "kind"], "value")
+    per_kind = split_rhat(stage(normal, "normal"), [*keys, "kind"])
+    return per_kind.groupBy(*keys).agg(F.max("rhat").alias("rhat"), F.max("halves").alias("halves"))
+
+
 def convergence_verdict(rhat: DataFrame, divergences: DataFrame) -> DataFrame:
     """Per panel: largest R-hat, divergences, and whether either is out of bounds."""
     worst = rhat.groupBy("panel_id").agg(F.max("rhat").alias("max_rhat"))

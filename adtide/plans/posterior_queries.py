@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import change_marker, scenario_verdict as verdict_column
+from ..functions.normal import probit_sql
 from ..operators import allocation, ordered, panel, posterior
 from ..sources import stage
 from . import inputs as src
@@ -102,6 +103,31 @@ def split_rhat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return posterior.split_rhat(params).select("panel_id", "param", "halves", *rounded(8, "rhat"))
 
 
+@query(
+    _LONG.rstrip()
+    + f""",
+ends AS (SELECT panel_id, chain, max(draw) AS last FROM long GROUP BY ALL),
+medians AS (SELECT panel_id, param, quantile_cont(value, 0.5) AS mid FROM long GROUP BY ALL),
+kinds AS (
+  SELECT panel_id, chain, draw, param, 'bulk' AS kind, value FROM long UNION ALL
+  SELECT panel_id, chain, draw, param, 'tail', abs(value - mid) FROM long JOIN medians USING (panel_id, param)),
+ranked AS (
+  SELECT *, (rank() OVER w + (count(*) OVER same - 1) / 2 - 0.375::DOUBLE) / (count(*) OVER whole + 0.25::DOUBLE) AS p FROM kinds
+  WINDOW w AS (PARTITION BY panel_id, param, kind ORDER BY value), same AS (PARTITION BY panel_id, param, kind, value),
+         whole AS (PARTITION BY panel_id, param, kind)),
+halves AS (
+  SELECT panel_id, param, kind, chain, draw * 2 > last AS half, count(*) AS n, avg(z) AS mean, var_samp(z) AS var
+  FROM (SELECT *, {probit_sql("p")} AS z FROM ranked) JOIN ends USING (panel_id, chain) GROUP BY ALL),
+rhats AS (
+  SELECT panel_id, param, kind, count(*) AS halves, sqrt(((avg(n) - 1) / avg(n) * avg(var) + var_samp(mean)) / avg(var)) AS rhat
+  FROM halves GROUP BY ALL)
+SELECT panel_id, param, max(halves) AS halves, round(max(rhat), 8) AS rhat FROM rhats GROUP BY ALL"""
+)
+def rank_rhat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    params = posterior.long_parameters(src.draws(spark, sf_dir), src.draws_global(spark, sf_dir))
+    return posterior.rank_rhat(params).select("panel_id", "param", "halves", *rounded(8, "rhat"))
+
+
 @query(
     _LONG.rstrip()
     + """,
