@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import clicks, metrics
-from ..sources import read_partitioned, scratch_path, spread_rows, write_parquet
+from ..sources import read_partitioned, scratch_path, spread_rows, stage, write_parquet
 from . import inputs as src
 from .inputs import CAT_COLS, INT_COLS, ROW_KEY, SPLIT_TEXT, SQL_AD_LOG, SQL_SCORES, sql_bucket
 from .registry import query, rounded
@@ -176,17 +176,14 @@ def feature_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _vector_report(table: DataFrame, ints: int) -> DataFrame:
     """Per row the vector's dimension, and the sums of its integer part and its hashed part, which
     is the number of categoricals whether or not two of them meet in a bucket."""
-    parts = F.from_json(
-        F.to_json(F.struct("features")),
-        "features struct<size int, indices array<int>, values array<double>>",
-    )["features"]
-    pairs = F.arrays_zip(parts["indices"].alias("i"), parts["values"].alias("v"))
+    size, positions, values = clicks.sparse_parts("features")
+    pairs = F.arrays_zip(positions.alias("i"), values.alias("v"))
 
     def total(keep) -> Column:
         return F.aggregate(F.filter(pairs, keep), F.lit(0.0), lambda a, x: a + x["v"])
 
     return table.select(
-        *ROW_KEY, "label", parts["size"].alias("dimension"),
+        *ROW_KEY, "label", size.alias("dimension"),
         F.round(total(lambda x: x["i"] < ints), 6).alias("int_sum"), total(lambda x: x["i"] >= ints).alias("hashed_sum"),
     )
 
@@ -212,6 +209,76 @@ def ctr_model_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(*ROW_KEY, "label", inside.alias("is_probability"))
 
 
+_PLANTED = f"""planted AS (
+  SELECT *, CAST(int_3 + {sql_bucket(SPLIT_TEXT, 10)} > 30 AS INTEGER) AS planted, {SPLIT_SQL} AS split FROM ad_log)"""
+
+
+@query(
+    LOG.rstrip()
+    + f""",
+{_PLANTED},
+rates AS (SELECT avg(planted) FILTER (split = 'train') AS train_ctr, avg(planted) FILTER (split = 'test') AS test_ctr,
+  count(*) FILTER (split = 'test') AS n_test FROM planted)
+SELECT unnest(['auc_roc', 'auc_pr', 'log_loss']) AS metric, n_test,
+  round(unnest([0.5, test_ctr, -(test_ctr * ln(train_ctr) + (1 - test_ctr) * ln(1 - train_ctr))]), 9) AS baseline, true AS finds_signal
+FROM rates"""
+)
+def trained_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Split, train, score and report on labels that follow one integer and noise: every metric has
+    to close more than half of the way from its baseline to a perfect score, which no constant does."""
+    log = src.ad_log(spark, sf_dir).withColumn("label", (F.col("int_3") + src.row_bucket(10) > 30).cast("int"))
+    clean = clicks.clean_features(log, INT_COLS, CAT_COLS, keep=ROW_KEY)
+    split = clicks.with_split(spread_rows(clean, ROW_KEY), src.row_bucket(100))
+    features = clicks.feature_table(split, INT_COLS, CAT_COLS, ["label", "split"])
+    stored = write_parquet(features, scratch_path(spark, "features"), ["split"], gather=False)
+    model = clicks.fit_click_model(stored.where(F.col("split") == "train"))
+    scored = stage(clicks.score_rows(model, stored, ["label", "split"]), "scored")
+    report = metrics.metric_report(scored)
+    perfect = F.when(F.col("metric") == "log_loss", 0.0).otherwise(1.0)
+    way = (F.col("model") - F.col("baseline")) / (perfect - F.col("baseline"))
+    tested = scored.where(F.col("split") == "test").agg(F.count("*").alias("n_test"))
+    return report.select(
+        "metric", tested.scalar().alias("n_test"), *rounded(9, "baseline"), (way > 0.5).alias("finds_signal")
+    )
+
+
+@query(
+    LOG
+    + f"""SELECT {SPLIT_SQL} AS split, count(*) AS n_rows, {len(INT_COLS) + 65536} AS dimension, true AS all_stored,
+    true AS has_files FROM ad_log GROUP BY ALL"""
+)
+def feature_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dimension, rows and size on disk of the stored features; at most one value a column, and no
+    fewer than the categoricals when no two of them meet."""
+    split = clicks.with_split(_clean(spark, sf_dir), src.row_bucket(100))
+    features = clicks.feature_table(split, INT_COLS, CAT_COLS, ["label", "split"])
+    path = scratch_path(spark, "features")
+    write_parquet(features, path, ["split"], gather=False)
+    report = clicks.feature_report(spark, path)
+    most = F.col("n_rows") * len(INT_COLS + CAT_COLS)
+    least = F.col("n_rows") * (len(CAT_COLS) - 1)
+    return report.select(
+        "split", "n_rows", "dimension", F.col("n_values").between(least, most).alias("all_stored"),
+        ((F.col("n_files") > 0) & (F.col("n_bytes") > 8 * F.col("n_rows"))).alias("has_files"),
+    )
+
+
+_ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT {i} AS position, '{c}' AS column_name, CASE any_value(typeof({c})) WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string'"
+        f" WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(any_value(typeof({c}))) END AS type,"
+        f" count(*) AS n_rows, count(*) - count({c}) AS n_null FROM orders"
+        for i, c in enumerate(_ORDER_COLS, 1)
+    )
+)
+def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names, types and missing values of the columns of orders."""
+    return clicks.column_profile(src.load(spark, sf_dir, "orders"))
+
+
 _CONF = (
     SCORED.rstrip()
     + """,

@@ -97,3 +97,52 @@ def test_click_job_learns_planted_signal(spark, tmp_path):
     both = again.join(out["scored"].withColumnRenamed("score", "old"), "id")
     assert both.count() == 6000 and both.where("abs(score - old) > 1e-12").count() == 0
     assert out["roc"].where("score is null").count() == 1
+
+
+def murmur3(data: bytes, seed: int = 42) -> int:
+    """MurmurHash3 of 32 bits, as a signed number."""
+    mask, h = 0xFFFFFFFF, seed
+    rotate = lambda x, r: (x << r | x >> 32 - r) & mask
+    mix = lambda k: rotate(k * 0xCC9E2D51 & mask, 15) * 0x1B873593 & mask
+    whole = len(data) // 4 * 4
+    for i in range(0, whole, 4):
+        h = (rotate(h ^ mix(int.from_bytes(data[i : i + 4], "little")), 13) * 5 + 0xE6546B64) & mask
+    h ^= mix(int.from_bytes(data[whole:], "little"))
+    h ^= len(data)
+    h = (h ^ h >> 16) * 0x85EBCA6B & mask
+    h = (h ^ h >> 13) * 0xC2B2AE35 & mask
+    h ^= h >> 16
+    return h - (1 << 32) if h >> 31 else h
+
+
+def test_vectors_hold_the_right_buckets(spark):
+    """Every position and value of the vector, from the text of each column."""
+    rows = [(1, 5.0, "a", "x"), (0, 0.0, "__NA__", "é"), (1, 2.5, "a", "a")]
+    df = spark.createDataFrame(rows, "label int, i double, c string, d string")
+    table = clicks.feature_table(df, ["i"], ["c", "d"], ["label"])
+    size, positions, values = clicks.sparse_parts("features")
+    got = table.select(size.alias("n"), positions.alias("at"), values.alias("v")).collect()
+    for (_, i, c, d), r in zip(rows, got):
+        want = {0: i} if i else {}
+        for text in (f"c={c}", f"d={d}"):
+            at = 1 + murmur3(text.encode()) % 65536
+            want[at] = want.get(at, 0.0) + 1.0
+        assert (r["n"], dict(zip(r["at"], r["v"]))) == (65537, want)
+
+
+def test_column_profile(spark):
+    df = spark.createDataFrame([(1, None, None), (2, "x", None)], "`a.b` int, c string, n array<int>")
+    got = [tuple(r) for r in clicks.column_profile(df).orderBy("position").collect()]
+    assert got == [(1, "a.b", "int", 2, 0), (2, "c", "string", 2, 1), (3, "n", "array<int>", 2, 2)]
+
+
+def test_feature_report(spark, tmp_path):
+    df = spark.createDataFrame([(i % 2, float(i), f"c{i}", "s" if i < 7 else "t") for i in range(10)], "label int, i double, c string, split string")
+    table = clicks.feature_table(df, ["i"], ["c"], ["label", "split"])
+    path = str(tmp_path / "features")
+    table.write.partitionBy("split").parquet(path)
+    got = {r["split"]: r for r in clicks.feature_report(spark, path).collect()}
+    assert {s: (r["n_rows"], r["dimension"], r["n_values"]) for s, r in got.items()} == {"s": (7, 65537, 13), "t": (3, 65537, 6)}
+    for s, r in got.items():
+        files = list((tmp_path / "features" / f"split={s}").glob("*.parquet"))
+        assert (r["n_files"], r["n_bytes"]) == (len(files), sum(f.stat().st_size for f in files))
