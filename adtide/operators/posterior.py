@@ -21,6 +21,8 @@ from .carryover import weighted_lags
 from .ordered import credible_interval, exact_quantiles, running_totals, skew_join
 
 DRAW = ["panel_id", "chain", "draw"]
+#: Scenarios that share one lag sum.
+TOGETHER = 50
 
 
 def by_draw(df: DataFrame) -> DataFrame:
@@ -28,21 +30,13 @@ def by_draw(df: DataFrame) -> DataFrame:
     return spread_rows(df, DRAW)
 
 
-def draw_adstock(
-    draws: DataFrame, series: DataFrame, scenarios: DataFrame | None = None, max_lag: int = MAX_LAG
-) -> DataFrame:
-    """Normalised adstock of every draw and week: adds t, adstock and the series constants.
-
-    With ``scenarios`` there is one copy per scenario with its multiplier ``m``; scenarios may
-    differ by panel. They are joined to draws, not to draws x weeks.
-    """
+def draw_adstock(draws: DataFrame, series: DataFrame, max_lag: int = MAX_LAG) -> DataFrame:
+    """Normalised adstock of every draw and week: adds t, adstock and the series constants."""
     names = [f"_w{i}" for i in range(max_lag)]
     weights = [w.alias(n) for w, n in zip(lag_weights(F.col("decay"), max_lag), names)]
     rows = skew_join(
         by_draw(draws).select("*", *weights), series, ["panel_id", "channel"], ["chain", "draw"]
     )
-    if scenarios is not None:
-        rows = rows.join(scenarios, [c for c in ("panel_id", "channel") if c in scenarios.columns])
     rows = rows.select(
         "*", F.explode(F.sequence(F.lit(0), F.col("n_weeks").cast("int") - 1)).alias("t")
     )
@@ -51,20 +45,33 @@ def draw_adstock(
 
 
 def channel_revenue(draws: DataFrame, series: DataFrame, scenarios: DataFrame) -> DataFrame:
-    """Revenue of a channel per scenario and draw: revenue_mean * beta * sum_t sat(m * adstock)."""
-    return _revenue(draws, series, scenarios, ["scenario_id", *DRAW, "channel"])
+    """Revenue of a channel per scenario and draw: revenue_mean * beta * sum_t sat(m * adstock).
+
+    The scenarios of a channel travel with its draws as one array of multipliers. The lag sum of a
+    week is formed once and meets all of them, each with a sum of its own, ``TOGETHER`` at a time.
+    """
+    on = [c for c in ("panel_id", "channel") if c in scenarios.columns]
+    place = F.row_number().over(Window.partitionBy(*on).orderBy("scenario_id")) - 1
+    numbered = scenarios.select(*on, "scenario_id", "m", place.alias("_j"))
+    numbered = numbered.select(*on, "scenario_id", "m", F.floor(F.col("_j") / TOGETHER).alias("_chunk"), (F.col("_j") % TOGETHER).alias("_j"))
+    packed = numbered.groupBy(*on, "_chunk").agg(F.transform(F.sort_array(F.collect_list(F.struct("_j", "m"))), lambda s: s["m"]).alias("_ms"))
+    most = packed.agg(F.max(F.size("_ms"))).first()[0] or 1
+    rows = draw_adstock(draws.join(packed, on), series)
+    sums = [
+        F.sum(F.col("revenue_mean") * F.col("beta") * exponential_saturation(F.get("_ms", F.lit(j)) * F.col("adstock"), F.col("sat_k"))).alias(f"_r{j}")
+        for j in range(most)
+    ]
+    summed = rows.groupBy(*DRAW, "channel", "_chunk").agg(*sums)
+    each = F.inline(F.array(*[F.struct(F.lit(j).alias("_j"), F.col(f"_r{j}").alias("revenue")) for j in range(most)]))
+    return summed.select(*DRAW, "channel", "_chunk", each).join(numbered.drop("m"), [*on, "_chunk", "_j"]).select(
+        "scenario_id", *DRAW, "channel", "revenue"
+    )
 
 
 def scenario_revenue(draws: DataFrame, series: DataFrame, scenarios: DataFrame) -> DataFrame:
     """Media revenue of all channels per scenario and draw."""
-    return _revenue(draws, series, scenarios, ["scenario_id", *DRAW])
-
-
-def _revenue(draws, series, scenarios, keys) -> DataFrame:
-    rows = draw_adstock(draws, series, scenarios)
-    sat = exponential_saturation(F.col("m") * F.col("adstock"), F.col("sat_k"))
-    worth = F.col("revenue_mean") * F.col("beta") * sat
-    return rows.groupBy(*keys).agg(F.sum(worth).alias("revenue"))
+    per_channel = channel_revenue(draws, series, scenarios)
+    return per_channel.groupBy("scenario_id", *DRAW).agg(F.sum("revenue").alias("revenue"))
 
 
 def uplift_by_draw(revenue: DataFrame, base: str = "current") -> DataFrame:
@@ -143,35 +150,46 @@ def posterior_means(draws: DataFrame, series: DataFrame, max_lag: int = MAX_LAG)
 
 
 def expected_by_draw(
-    draws: DataFrame, globals_: DataFrame, series: DataFrame, weekly: DataFrame
+    draws: DataFrame, globals_: DataFrame, series: DataFrame, weekly: DataFrame, max_lag: int = MAX_LAG
 ) -> DataFrame:
     """(panel_id, chain, draw, t, mu): expected revenue of every draw and week, scaled.
 
-    Both inputs are placed by draw. With a broadcast series the channels of a draw stay in one task
-    and merge there; only (draw, week) sums are shuffled.
+    A draw becomes one row with the parameters of all its channels beside its globals, and a panel one
+    row with all its series and its calendar. They meet once, and ``mu`` of a week is one
+    expression of that row, so no rows of draws x weeks are merged again. Channels are taken by their
+    place among the panel's channels; one without parameters in the draw, or a draw without any,
+    adds nothing.
     """
-    media = draw_adstock(draws, series).select(
-        *DRAW, "t",
-        (F.col("beta") * exponential_saturation(F.col("adstock"), F.col("sat_k"))).alias("part"),
+    panels = series.groupBy("panel_id").agg(F.sort_array(F.collect_list(F.struct("channel", "xs"))).alias("_series"))
+    panels = stage(panels.join(weekly.select("panel_id", "weeks"), "panel_id"), "panels")
+    channels = range(panels.agg(F.max(F.size("_series"))).first()[0] or 0)
+    entry = F.struct("channel", F.struct("decay", "sat_k", "beta"))
+    packed = by_draw(draws).groupBy(*DRAW).agg(F.map_from_entries(F.collect_list(entry)).alias("_params"))
+    rows = by_draw(globals_).join(packed, DRAW, "left")
+    rows = skew_join(rows, panels, ["panel_id"], ["chain", "draw"])
+    one = [F.get("_series", F.lit(i)) for i in channels]
+    rows = rows.select(
+        "*", *[o["xs"].alias(f"_xs{i}") for i, o in enumerate(one)],
+        *[F.try_element_at("_params", o["channel"]).alias(f"_p{i}") for i, o in enumerate(one)],
     )
-    weeks = skew_join(
-        by_draw(globals_),
-        weekly.select("panel_id", "weeks"),
-        ["panel_id"],
-        ["chain", "draw"],
+    rows = rows.select(
+        "*", *[w.alias(f"_w{i}_{lag}") for i in channels for lag, w in enumerate(lag_weights(F.col(f"_p{i}.decay"), max_lag))],
+        F.explode("weeks").alias("wk"),
     )
+    t = F.col("wk.t").cast("int")
     season = sum(
         (F.col(f"season_{i}") * F.col(f"wk.season_{i}") for i in range(1, 4)),
         F.col("season_0") * F.col("wk.season_0"),
     )
-    control = (
+    mu = (
         F.col("intercept") + season + F.col("trend") * F.col("wk.trend")
         + F.col("comp") * F.col("wk.competitor")
     )
-    controls = weeks.select("*", F.explode("weeks").alias("wk")).select(
-        *DRAW, F.col("wk.t").cast("int").alias("t"), control.alias("part")
-    )
-    return media.unionByName(controls).groupBy(*DRAW, "t").agg(F.sum("part").alias("mu"))
+    for i in channels:
+        adstock = weighted_lags([F.col(f"_w{i}_{lag}") for lag in range(max_lag)], F.col(f"_xs{i}"), t)
+        media = F.col(f"_p{i}.beta") * exponential_saturation(adstock, F.col(f"_p{i}.sat_k"))
+        mu = mu + F.coalesce(media, F.lit(0.0))
+    return rows.select(*DRAW, t.alias("t"), mu.alias("mu"))
 
 
 def predictive_band(mu: DataFrame, weekly: DataFrame) -> DataFrame:
