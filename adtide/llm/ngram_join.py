@@ -151,6 +151,7 @@ class Trie:
                 last.append(len(order))
                 open_nodes.append(len(parent) - 1)
             self.leaf[i] = open_nodes[-1]
+        self.mask: np.ndarray | None = None
         self.first, self.last = np.array(first), np.array(last)
         self.end = np.array(end)
         n = len(parent)
@@ -187,9 +188,11 @@ class Trie:
         set after the node's last rank, and of the longest set below) stay under what the smallest
         set below needs.
         """
-        mask = np.zeros(n_ranks + 1, dtype=np.int64)
+        # one array for all walks: its length is that of the group's n-grams, not of this set's
+        if self.mask is None:
+            self.mask = np.zeros(n_ranks + 1, dtype=np.int64)
+        mask = self.mask
         mask[ranks] = 1
-        passed = np.cumsum(mask)
         overlap = np.zeros(len(self.end), dtype=np.int64)
         frontier, found = np.zeros(1, dtype=np.int64), []
         while len(frontier):
@@ -209,8 +212,10 @@ class Trie:
             runs = self.run_size[kids]
             hits = np.add.reduceat(mask[self.ranks[self._spans(self.run_at[kids], runs)]], np.concatenate([[0], np.cumsum(runs)[:-1]]))
             overlap[kids] = above + hits
-            left = np.minimum(len(ranks) - passed[self.last_rank[kids]], self.max_length[kids] - self.end[kids])
+            passed = np.searchsorted(ranks, self.last_rank[kids], side="right")
+            left = np.minimum(len(ranks) - passed, self.max_length[kids] - self.end[kids])
             frontier = kids[overlap[kids] + left >= need]
+        mask[ranks] = 0
         return self.order[np.concatenate(found)] if found else np.zeros(0, dtype=np.int64)
 
 
