@@ -53,8 +53,10 @@ def channel_revenue(draws: DataFrame, series: DataFrame, scenarios: DataFrame) -
     on = [c for c in ("panel_id", "channel") if c in scenarios.columns]
     place = F.row_number().over(Window.partitionBy(*on).orderBy("scenario_id")) - 1
     numbered = scenarios.select(*on, "scenario_id", "m", place.alias("_j"))
-    numbered = numbered.select(*on, "scenario_id", "m", F.floor(F.col("_j") / TOGETHER).alias("_chunk"), (F.col("_j") % TOGETHER).alias("_j"))
+    chunk, within = F.floor(F.col("_j") / TOGETHER).alias("_chunk"), (F.col("_j") % TOGETHER).alias("_j")
+    numbered = stage(numbered.select(*on, "scenario_id", "m", chunk, within), "scenarios")
     packed = numbered.groupBy(*on, "_chunk").agg(F.transform(F.sort_array(F.collect_list(F.struct("_j", "m"))), lambda s: s["m"]).alias("_ms"))
+    packed = stage(packed, "multipliers")
     most = packed.agg(F.max(F.size("_ms"))).first()[0] or 1
     rows = draw_adstock(draws.join(packed, on), series)
     sums = [

@@ -28,17 +28,14 @@ def _segment(step: str, size: int) -> Column:
 def segmented_lag(df: DataFrame, keys: list[str], step: str, value: str, name: str, size: int = SEGMENT) -> DataFrame:
     """``df`` with the value of the step before as ``name``, null at the start of a series.
 
-    Rows are shuffled once, by series and segment; the last value of each segment travels to the next.
+    Rows are read and shuffled once, by series and segment; the last row of a segment also travels
+    with the next one, where only its value is taken.
     """
-    rows = df.withColumn("_seg", _segment(step, size))
-    edges = rows.groupBy(*keys, (F.col("_seg") + 1).alias("_seg")).agg(F.max_by(value, step).alias("_edge"))
+    own, edge = F.struct(_segment(step, size), F.lit(False).alias("_edge")), F.struct((_segment(step, size) + 1).alias("_seg"), F.lit(True).alias("_edge"))
+    ends = F.pmod(F.col(step), F.lit(size)) == size - 1
+    rows = df.select("*", F.inline(F.when(ends, F.array(own, edge)).otherwise(F.array(own))))
     inside = Window.partitionBy(*keys, "_seg").orderBy(step)
-    rows = rows.withColumn("_before", F.lag(value).over(inside)).withColumn("_at", F.row_number().over(inside))
-    return (
-        rows.join(edges, [*keys, "_seg"], "left")
-        .withColumn(name, F.when(F.col("_at") == 1, F.col("_edge")).otherwise(F.col("_before")))
-        .drop("_seg", "_edge", "_before", "_at")
-    )
+    return rows.withColumn(name, F.lag(value).over(inside)).where(~F.col("_edge")).drop("_seg", "_edge")
 
 
 def _entering(maps: DataFrame, keys: list[str]) -> DataFrame:
