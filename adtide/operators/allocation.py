@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +15,9 @@ M_MIN, M_MAX = 0.3, 2.0
 STEPS = 340
 FINE_STEPS = 340
 CURVE_POINTS = 120
+#: Halvings of the price bracket, and Newton steps of a channel's answer to one price.
+PRICE_STEPS = 60
+ANSWER_STEPS = 12
 
 
 def mean_revenue(m: Column) -> Column:
@@ -85,6 +90,122 @@ def budget_allocation(
     )
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _marginal(c: Column, m: Column) -> Column:
+    """Log of a channel's revenue per further EUR at ``m``, and its slope; null where nothing is gained."""
+    return F.aggregate(
+        c["stock"],
+        F.struct(F.lit(0.0).alias("first"), F.lit(0.0).alias("second")),
+        lambda acc, a: F.struct(
+            (acc["first"] + a * F.exp(-m * a / c["sat_k"])).alias("first"),
+            (acc["second"] + a * a * F.exp(-m * a / c["sat_k"])).alias("second"),
+        ),
+        lambda acc: F.struct(
+            # the logarithm of zero is null
+            (F.log(c["scale"]) + F.log(acc["first"])).alias("log"),
+            (safe_ratio(acc["second"], acc["first"]) / c["sat_k"]).alias("fall"),
+        ),
+    )
+
+
+def _answer(c: Column, start: Column, price: Column, m_max: float) -> Column:
+    """The multiplier at which a channel's marginal revenue falls to ``price``, from one below it.
+
+    The log of a sum of exponentials is convex, so Newton's steps come from the left and never pass
+    the root; a channel that gains nothing stays where it is.
+    """
+    # without a fall that a double can hold the answer is the upper bound
+    step = lambda g: F.when(
+        g["log"] > price, F.coalesce(F.try_divide(g["log"] - price, g["fall"]), F.lit(m_max))
+    )
+    return F.aggregate(
+        F.sequence(F.lit(1), F.lit(ANSWER_STEPS)),
+        start,
+        lambda m, _: F.least(m + F.coalesce(_let(_marginal(c, m), step), F.lit(0.0)), F.lit(m_max)),
+    )
+
+
+def optimal_allocation(means: DataFrame, m_min: float = M_MIN, m_max: float = M_MAX) -> DataFrame:
+    """(panel_id, channel, spend_total, multiplier, marginal) of the best split of each panel's budget.
+
+    Revenue is concave in every multiplier, so at the optimum all channels between their bounds earn
+    the same for a further EUR. That price is bisected: each channel answers it with its multiplier,
+    and a plan over the budget raises it. The plan lies between the answers at both ends of the last
+    bracket and spends the budget exactly, also where channels are tied or gain nothing. ``marginal``
+    is the revenue of a further EUR. A panel is one row of channels x weeks values; channels without
+    spend keep multiplier 1 and have no marginal, and one with a null parameter gains nothing.
+    """
+    paid = means.where(F.col("spend_total") > 0).select(
+        "panel_id",
+        F.struct(
+            "channel",
+            "spend_total",
+            "sat_k",
+            "stock",
+            (F.col("revenue_mean") * F.col("beta") / F.col("sat_k") / F.col("spend_total")).alias("scale"),
+        ).alias("c"),
+    )
+    panels = paid.groupBy("panel_id").agg(F.sort_array(F.collect_list("c")).alias("cs"))
+    cs = F.col("cs")
+    total = F.aggregate(cs, F.lit(0.0), lambda acc, c: acc + c["spend_total"])
+
+    def spent(plan: Column) -> Column:
+        costs = F.zip_with(cs, plan, lambda c, m: c["spend_total"] * m)
+        return F.aggregate(costs, F.lit(0.0), lambda acc, x: acc + x)
+
+    def everywhere(m: float) -> Column:
+        return F.transform(cs, lambda c: F.lit(m))
+
+    def logs(m: float) -> Column:
+        return F.transform(cs, lambda c: _marginal(c, F.lit(m))["log"])
+
+    def halve(state: Column, _: Column) -> Column:
+        def narrowed(tried: Column) -> Column:
+            over = spent(tried["plan"]) >= F.col("budget")
+            return F.struct(
+                F.when(over, tried["price"]).otherwise(state["low"]).alias("low"),
+                F.when(over, state["high"]).otherwise(tried["price"]).alias("high"),
+                F.when(over, tried["plan"]).otherwise(state["most"]).alias("most"),
+                F.when(over, state["least"]).otherwise(tried["plan"]).alias("least"),
+            )
+
+        price = (state["low"] + state["high"]) / 2
+        # answers at the higher price lie to the left
+        plan = F.zip_with(cs, state["least"], lambda c, m: _answer(c, m, price, m_max))
+        return _let(F.struct(price.alias("price"), plan.alias("plan")), narrowed)
+
+    bracket = F.aggregate(
+        F.sequence(F.lit(1), F.lit(PRICE_STEPS)),
+        F.struct(
+            (F.coalesce(F.array_min(logs(m_max)), F.lit(0.0)) - 1).alias("low"),
+            (F.coalesce(F.array_max(logs(m_min)), F.lit(0.0)) + 1).alias("high"),
+            everywhere(m_max).alias("most"),
+            everywhere(m_min).alias("least"),
+        ),
+        halve,
+    )
+    ends = panels.withColumn("budget", total).withColumn("b", bracket)
+    least, most = spent(F.col("b.least")), spent(F.col("b.most"))
+    share = F.coalesce(safe_ratio(F.col("budget") - least, most - least), F.lit(0.0))
+    plan = F.zip_with("b.least", "b.most", lambda lo, hi: lo + F.col("share") * (hi - lo))
+    rows = ends.withColumn("share", share).select(
+        "panel_id", F.inline(F.arrays_zip(cs.alias("c"), plan.alias("m")))
+    )
+    best = rows.select(
+        "panel_id",
+        F.col("c.channel").alias("channel"),
+        F.col("m").alias("_m"),
+        F.coalesce(F.exp(_marginal(F.col("c"), F.col("m"))["log"]), F.lit(0.0)).alias("marginal"),
+    )
+    return means.join(best, ["panel_id", "channel"], "left").select(
+        "panel_id", "channel", "spend_total", F.coalesce("_m", F.lit(1.0)).alias("multiplier"), "marginal"
+    )
+
+
 def allocation_table(allocation: DataFrame) -> DataFrame:
     """Current and recommended EUR and percent per channel, multiplier and direction."""
     now, rec = F.col("spend_total"), F.col("multiplier") * F.col("spend_total")

@@ -54,7 +54,7 @@ def media_job(
     tables["roi"] = keep("roi", posterior.posterior_roi(roi_draws, series))
 
     means = keep("means", posterior.posterior_means(per_channel, series))
-    best = keep("best", allocation.budget_allocation(means))
+    best = keep("best", allocation.optimal_allocation(means))
     tables["allocation"] = keep("allocation", allocation.allocation_table(best))
     choice = F.array(
         F.struct(F.lit("current").alias("scenario_id"), F.lit(1.0).alias("m")),

@@ -438,6 +438,34 @@ def budget_allocation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return allocation.budget_allocation(_means(spark, sf_dir)).select(*PC, *rounded(6, "multiplier"))
 
 
+# Halvings of the price (45) with, inside each and once more at the end, halvings of every multiplier.
+@query(
+    _MEANS.replace("WITH", "WITH RECURSIVE", 1).rstrip()
+    + """,
+curve AS (
+  SELECT panel_id, channel, spend_total, k, revenue_mean * beta / k / spend_total AS scale, list(a ORDER BY t) AS stock
+  FROM means JOIN stock USING (panel_id, channel) WHERE spend_total > 0 GROUP BY ALL),
+search AS (
+  SELECT *, 0 AS n, -40.0::DOUBLE AS low, 40.0::DOUBLE AS high, 0.3::DOUBLE AS lo, 2.0::DOUBLE AS hi,
+         sum(spend_total) OVER (PARTITION BY panel_id) AS budget FROM curve
+  UNION ALL
+  SELECT panel_id, channel, spend_total, k, scale, stock, n + 1,
+    CASE WHEN turn AND spent >= budget THEN (low + high) / 2 ELSE low END,
+    CASE WHEN turn AND spent < budget THEN (low + high) / 2 ELSE high END,
+    CASE WHEN turn THEN 0.3 ELSE lo2 END, CASE WHEN turn THEN 2.0 ELSE hi2 END, budget
+  FROM (SELECT *, n % 45 = 44 AND n < 50 * 45 AS turn, sum(spend_total * lo2) OVER (PARTITION BY panel_id) AS spent
+        FROM (SELECT *, CASE WHEN worth THEN (lo + hi) / 2 ELSE lo END AS lo2, CASE WHEN worth THEN hi ELSE (lo + hi) / 2 END AS hi2
+              FROM (SELECT *, ln(scale * list_sum(list_transform(stock, lambda x: x * exp(-(lo + hi) / 2 * x / k)))) > (low + high) / 2
+                      AS worth FROM search WHERE n < 51 * 45))))
+SELECT panel_id, channel, round(coalesce(lo, 1.0), 6) AS multiplier,
+  round(scale * list_sum(list_transform(stock, lambda x: x * exp(-lo * x / search.k))), 6) AS marginal
+FROM means LEFT JOIN search USING (panel_id, channel) WHERE n = 51 * 45 OR n IS NULL"""
+)
+def optimal_allocation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    best = allocation.optimal_allocation(_means(spark, sf_dir))
+    return best.select(*PC, *rounded(6, "multiplier", "marginal"))
+
+
 @query(
     _ALLOC
     + """SELECT panel_id, channel, round(spend_total, 4) AS current_eur,

@@ -198,6 +198,68 @@ def test_allocation_against_fine_search(spark):
     assert mb == pytest.approx((410 - 10 * best) / 400, abs=1e-3)
 
 
+def optimality_gap(rows, got, lo=0.3, hi=2.0):
+    """Largest relative breach of the optimality conditions of one panel's plan."""
+    price = {}
+    for _, c, spend, rev, k, beta, stock in rows:
+        if spend:
+            m = got[c]["multiplier"]
+            price[c] = rev * beta / k / spend * sum(a * math.exp(-m * a / k) for a in stock)
+            if price[c]:
+                assert got[c]["marginal"] == pytest.approx(price[c], rel=1e-12)
+    inner = [c for c in price if lo < got[c]["multiplier"] < hi]
+    level = [price[c] for c in inner] or [max(price.values())]
+    worst = max(level) / min(level) - 1 if min(level) else 0.0
+    for c in price:
+        if got[c]["multiplier"] == lo:  # a further EUR may not be worth more than elsewhere
+            worst = max(worst, price[c] / min(level) - 1 if min(level) else 0.0)
+        if got[c]["multiplier"] == hi:
+            worst = max(worst, 1 - price[c] / max(level) if max(level) else 0.0)
+    spent, budget = sum(r[2] * got[r[1]]["multiplier"] for r in rows), sum(r[2] for r in rows)
+    return max(worst, abs(spent - budget) / budget if budget else 0.0)
+
+
+def test_optimal_allocation_meets_the_conditions(spark):
+    """Random panels, bounds that bind, equal channels, channels without spend, revenue or weeks."""
+    rng = np.random.default_rng(5)
+    panels = {
+        f"r{i}": [
+            (f"r{i}", f"c{j}", float(rng.lognormal(3, 2)), 1e6, float(rng.lognormal(-1, 1)), float(rng.lognormal(-1, 1)),
+             rng.uniform(0, 1, 1 + 13 * (i % 4)).tolist())
+            for j in range(2 + i % 6)
+        ]
+        for i in range(30)
+    }
+    s = [0.2, 0.9, 0.4]
+    panels["equal"] = [("equal", c, 5.0, 10.0, 0.4, 1.0, s) for c in "abc"]
+    panels["flat"] = [("flat", "a", 5.0, 10.0, 0.4, 0.0, s), ("flat", "b", 5.0, 10.0, 0.4, 0.0, [])]
+    panels["steep"] = [("steep", "a", 900.0, 1e6, 0.02, 1.0, [1.0, 1e-3, 0.05]), ("steep", "b", 90.0, 1e6, 5.0, 1.0, s)]
+    panels["mixed"] = [("mixed", "a", 5.0, 10.0, 0.4, 1.0, s), ("mixed", "b", 50.0, 10.0, 0.4, 0.0, s), ("mixed", "z", 0.0, 10.0, 0.4, 1.0, s)]
+    panels["none"] = [("none", "a", 0.0, 10.0, 0.4, 1.0, s)]
+    got = {p: {} for p in panels}
+    best = allocation.optimal_allocation(mean_rows(spark, [r for rows in panels.values() for r in rows]))
+    for r in best.collect():
+        got[r["panel_id"]][r["channel"]] = r
+    for p, rows in panels.items():
+        assert set(got[p]) == {r[1] for r in rows}
+        assert all(0.3 <= r["multiplier"] <= 2.0 for r in got[p].values())
+        if p != "none":
+            assert optimality_gap(rows, got[p]) < 1e-9, p
+    assert got["none"]["a"]["multiplier"] == got["mixed"]["z"]["multiplier"] == 1
+    assert got["mixed"]["z"]["marginal"] is None
+    assert all(r["multiplier"] == pytest.approx(1.0) for r in got["equal"].values())
+    assert allocation.optimal_allocation(mean_rows(spark, [])).count() == 0
+
+
+def test_greedy_fill_is_close_to_the_optimum(spark):
+    rows = [("p", c, 10.0 + 40 * i, 1e4, 0.3 + 0.2 * i, 0.5, [0.1, 0.4, 0.8]) for i, c in enumerate("abc")]
+    exact = by(allocation.optimal_allocation(mean_rows(spark, rows)), "channel")
+    fill = by(allocation.budget_allocation(mean_rows(spark, rows)), "channel")
+    budget = sum(r[2] for r in rows)
+    for r in rows:
+        assert abs(exact[r[1]]["multiplier"] - fill[r[1]]["multiplier"]) * r[2] < 2 * 1.7 / 340 / 340 * budget * len(rows)
+
+
 def test_revenue_rises_and_bends(spark):
     curve = allocation.response_curve(
         mean_rows(spark, [("p", "a", 1.0, 2.5e6, 0.4, 0.1, [0.3, 0.5, 0.2, 0.6])]), points=3
