@@ -27,7 +27,7 @@ LABELLED = 40_000
 LEXICON = 2_000
 #: Letters of a piece of a word; whole words count at any length.
 LONGEST = 10
-#: A longer word is a run of text without blanks.
+#: A longer word is a run of text without blanks: its pieces' surroundings are the letters after them.
 RUN = 40
 #: Candidates and words that a task holds before it passes them on.
 PART = 500_000
@@ -280,12 +280,16 @@ def fit_lexicon(
     strong = {g: w for g, w in strong.items() if g[0] == " " or w >= edged.get(g, 0.0)}
     longer = {part for g in strong for part in (g[:-1], g[1:]) if part in strong and in_toxic[g] == in_toxic[part]}
     ranked = sorted((g for g in strong if g not in longer), key=lambda g: (-strong[g] * math.log(in_toxic[g]), g))[:LEXICON]
-    by_word: dict[str, dict[str, list[int]]] = defaultdict(lambda: defaultdict(lambda: [0, 0]))
-    for label, part in ((1, toxic), (0, clean)):
-        found = part.mapInArrow(_seen_in(ranked), "gram string, word string, n bigint").where("word != ''").groupBy("gram", "word").agg(F.sum("n").alias("n"))
-        for r in found.where(F.col("n") >= (1 if label else EXCEPTION_DOCS)).orderBy(F.desc("n")).limit(50 * LEXICON).collect():
-            by_word[r["gram"]][r["word"]][label] += r["n"]
-    exceptions = sorted({f" {w} " for words in by_word.values() for w, (c, t) in words.items() if c >= EXCEPTION_DOCS and not t})
+    held = "gram string, word string, n bigint"
+    seen = [
+        part.mapInArrow(_seen_in(ranked), held).select("word", "gram", *[(F.col("n") * int(label == k)).alias(f"in_{k}") for k in (0, 1)])
+        for label, part in ((0, clean), (1, toxic))
+    ]
+    spared = (
+        seen[0].unionByName(seen[1]).where("word != ''").groupBy("gram", "word").agg(F.sum("in_0").alias("in_0"), F.sum("in_1").alias("in_1"))
+        .where((F.col("in_0") >= EXCEPTION_DOCS) & (F.col("in_1") == 0)).select("word").distinct().collect()
+    )
+    exceptions = sorted(f" {r['word']} " for r in spared)
     lexicon = Lexicon({g: strong[g] for g in ranked}, exceptions)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -189,6 +189,60 @@ def test_toxicity_folding_and_exceptions():
     assert lexicon.features("", machine, table) == (0.0, 0.0, 0.0, 0)
 
 
+def test_toxicity_against_naive_search(spark, sf):
+    """Hits and scores of whole texts, with every entry and exception looked up at every place."""
+    marks = ["grok", "zwqx", "vrakk", "grokvrakk"]
+    rows = []
+    for i, r in enumerate(spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").select("doc_id", "text").collect()):
+        words = (r["text"] or "").split(" ")
+        if i % 2:
+            words[len(words) // 2 : len(words) // 2] = [marks[i // 2 % 4] + ["", "ly", "."][i % 3]]
+        elif i % 10 == 0:
+            words.append("grokker")
+        rows.append((r["doc_id"], " ".join(words), i % 2))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    lexicon = toxicity.fit_lexicon(docs, docs.select("doc_id", "toxic"))
+    assert len(lexicon.weights) > 1
+    lexicon.exceptions = sorted({*lexicon.exceptions, " grokvrakkly "})
+    got = {r["doc_id"]: r for r in toxicity.score_toxicity(docs, lexicon).collect()}
+
+    def places(text, entry):
+        at = [i for i in range(len(text)) if text.startswith(entry, i)]
+        return [(i + len(entry) - len(entry.lstrip()), i + len(entry.rstrip())) for i in at]
+
+    for r in docs.orderBy("doc_id").collect()[:80]:
+        words = toxicity.fold(r["text"])
+        text = f" {' '.join(words)} "
+        spared = [p for e in lexicon.exceptions if e in text for p in places(text, e)]
+        hits = [(a, b, w) for e, w in lexicon.weights.items() if e in text for a, b in places(text, e)]
+        hits = sorted(h for h in hits if not any(a <= h[0] and h[1] <= b for a, b in spared))
+        kept = []
+        while hits:
+            group = [hits.pop(0)]
+            while hits and hits[0][0] < max(group, key=lambda h: (h[2], -h[0]))[1]:
+                group.append(hits.pop(0))
+            kept.append(max(h[2] for h in group))
+        x = [max(kept, default=0.0), math.log1p(sum(kept)), math.log1p(100 * sum(kept) / max(len(words), 1))]
+        z = lexicon.coefficients[0] + np.dot(lexicon.coefficients[1:], x)
+        assert got[r["doc_id"]]["n_hits"] == len(kept)
+        assert got[r["doc_id"]]["score"] == pytest.approx(1 / (1 + math.exp(-max(min(z, 40), -40))))
+
+
+def test_toxicity_exceptions_weigh_both_labels(spark):
+    """A word with an entry that is frequent in clean texts is spared only without any toxic use."""
+    lead = ["red", "blue", "green", "grey", "dark", "pale", "cold", "warm"]
+    rows = [(i, f"{lead[i % 8]} grok {lead[(i * 3 + i // 8) % 8]}", 1) for i in range(200)]
+    rows += [(1_000 + i, f"{lead[i % 8]} grokker {lead[(i * 5) % 8]}", 0) for i in range(6)]
+    rows += [(2_000 + i, f"{lead[i % 8]} grokling {lead[(i * 5) % 8]}", 0) for i in range(6)]
+    rows += [(3_000, "pale grokling cold", 1)]
+    rows += [(4_000 + i, f"{lead[i % 8]} {lead[(i * 7) % 8]}", 0) for i in range(2_000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    lexicon = toxicity.fit_lexicon(docs, docs.select("doc_id", "toxic"))
+    held = {e.strip() for e in lexicon.exceptions}
+    assert " grok" in lexicon.weights
+    assert "grokker" in held and "grokling" not in held
+
+
 def test_toxicity_of_odd_rows(spark, odd, empty):
     labels = spark.createDataFrame([(0, 1), (6, 0), (9, None)], "doc_id bigint, toxic int")
     lexicon = toxicity.fit_lexicon(odd, labels)
