@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -29,36 +30,41 @@ LINK_SHARE = 0.5
 
 # Element kinds of HTML and usual names of page parts.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = set("script style noscript template svg math iframe object canvas audio video head title textarea".split())
+HIDDEN = set("script style noscript template svg annotation annotation-xml iframe object canvas audio video head title textarea".split())
 BLOCK = set(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td "
     "tfoot th thead tr ul".split()
 )
-SKIPPED = set("nav aside footer form menu dialog button select input label".split())
+SKIPPED = set("nav aside footer menu dialog button select input label".split())
 SKIPPED_ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
 SKIPPED_NAMES = set(
     "ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments consent "
     "cookie cookies copyright disqus footer footers form gdpr login masthead menu menus modal nav navbar navigation "
     "newsletter notice notices pagination pager popup promo promoted promotion related replies reply respond search "
     "share sharing sidebar sidebars signup skip social sponsor sponsored subscribe subscription toolbar topbar widget "
-    "widgets".split()
+    "widgets ad-banner ad-slot comment-form comment-list comments-area cookie-banner cookie-bar cookie-consent cookie-notice "
+    "main-nav menu-bar nav-bar nav-menu related-articles related-posts related-stories share-buttons side-bar site-footer "
+    "site-nav skip-link social-links".split()
 )
-HEADER_NAMES = {"header", "headers"}
+HEADER_NAMES = {"header", "headers", "page-header", "site-header"}
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 CLOSED_BY = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
     "option": {"option"},
 }
 LISTS = ("ul", "ol", "dl", "table", "tbody", "select", "menu")
 CELLS = ("td", "th", "table", "article", "main", "body")
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|[^<]+|<", re.S
-)
-_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|([^\s=/\"'>]+)")
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/<>]*)")
+_MARK = re.compile(r"[>\"']")
+_ATTRIBUTE = re.compile(r"([^\s=/\"'>]++)\s*+=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|([^\s=/\"'>]+)")
 _NAME = re.compile(r"[a-z]+")
 _HOST = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)")
 
-PLAIN, ARTICLE, MAIN, SKIP = 0, 1, 2, 3
+#: Parts of a page. NAMED is left out because of a name or a form, OTHER is an article that is marked so or stands there.
+PLAIN, ARTICLE, MAIN, SKIP, NAMED, OTHER = range(6)
+#: Added to the part of a heading's text.
+HEADING = 8
 
 
 def host_of(url: str | None) -> str:
@@ -71,22 +77,48 @@ def _attributes(text: str) -> dict[str, str]:
 
 
 def _role(tag: str, given: dict[str, str], inside: int) -> int:
-    """The part of the page that an element opens, given the part that it stands in."""
+    """The part of the page that an element opens, given the part that it stands in.
+
+    Names count as whole words of the class or the id only: ``share-price`` is no ``share``.
+    """
     if inside == SKIP:
         return SKIP
     role, style = given.get("role", "").lower(), given.get("style", "").replace(" ", "").lower()
     if tag in SKIPPED or role in SKIPPED_ROLES or "hidden" in given or given.get("aria-hidden") == "true" or "display:none" in style:
         return SKIP
-    names = set(_NAME.findall(f"{given.get('class', '')} {given.get('id', '')}".lower()))
-    if tag not in ("html", "body", "article", "main") and names & SKIPPED_NAMES:
-        return SKIP
+    names = set(f"{given.get('class', '')} {given.get('id', '')}".lower().split())
+    within = inside in (ARTICLE, OTHER)
+    if tag == "form" or (tag not in ("html", "body", "main") and names & SKIPPED_NAMES):
+        if tag == "article" and inside == PLAIN:
+            return OTHER
+        return SKIP if within or tag == "article" else NAMED
     if inside == PLAIN and (tag == "header" or (tag != "body" and names & HEADER_NAMES)):
-        return SKIP
-    if tag == "article" or given.get("itemprop", "").lower() == "articlebody":
+        return NAMED
+    article, main = tag == "article" or given.get("itemprop", "").lower() == "articlebody", tag == "main" or role == "main"
+    if inside in (NAMED, OTHER):
+        return OTHER if article or main else inside
+    if article:
         return ARTICLE
-    if tag == "main" or role == "main":
-        return max(inside, MAIN) if inside != ARTICLE else ARTICLE
-    return inside
+    return MAIN if main and not within else inside
+
+
+def _tag_ends(page: str) -> tuple[list[int], list[int]]:
+    """Places of ``>`` and quotes, and for each where a tag that meets it outside quotes ends (-1: nowhere).
+
+    Filled from the page's end, so that unclosed quotes cost no second search.
+    """
+    marks = [m.start() for m in _MARK.finditer(page)]
+    ends = [-1] * (len(marks) + 1)
+    following = {"'": -1, '"': -1}
+    for i in range(len(marks) - 1, -1, -1):
+        sign = page[marks[i]]
+        if sign == ">":
+            ends[i] = marks[i]
+        else:
+            if following[sign] >= 0:
+                ends[i] = ends[following[sign] + 1]
+            following[sign] = i
+    return marks, ends
 
 
 def parse_page(page: str) -> tuple[list[int], list[tuple[int, int, int, int, str]]]:
@@ -95,7 +127,8 @@ def parse_page(page: str) -> tuple[list[int], list[tuple[int, int, int, int, str
     Broken markup never fails: unclosed elements end with their parent, stray ends are ignored,
     an unfinished tag is text. Text before the first or after the last element counts as the body's.
     Elements nest to any depth; the places of open tags are kept by name, so a tag finds its partner
-    without a walk over the stack.
+    without a walk over the stack. The time is linear in the page's length, however broken it is.
+    A heading's part carries ``HEADING``.
     """
     tokens: list[int] = []
     blocks: list[tuple[int, int, int, int, str]] = []
@@ -114,7 +147,8 @@ def parse_page(page: str) -> tuple[list[int], list[tuple[int, int, int, int, str
                 content = " ".join(words)
                 place = stack[-1][1]
                 own = xxhash.xxh3_64_intdigest(content.encode("utf-8", "surrogatepass"), place & 0xFFFFFFFF) >> 1
-                blocks.append((len(tokens), own, stack[-1][2], min(linked, len(content)), content))
+                heading = HEADING if any(opened.get(h) for h in HEADINGS) else 0
+                blocks.append((len(tokens), own, stack[-1][2] + heading, min(linked, len(content)), content))
                 tokens.append(own)
         linked = 0
 
@@ -129,17 +163,39 @@ def parse_page(page: str) -> tuple[list[int], list[tuple[int, int, int, int, str
         """Where the innermost open element of these names stands; 0 without one."""
         return max((opened[n][-1] for n in names if opened.get(n)), default=0)
 
+    def plain(chars: str) -> None:
+        nonlocal linked
+        text.append(chars)
+        if in_link:
+            linked += len(chars)
+
     at, size = 0, len(page)
+    marks, ends = _tag_ends(page)
+    last_end = page.rfind(">")
+    unclosed: set[str] = set()
     while at < size:
-        m = _TOKEN.match(page, at)
-        at = m.end()
-        tag = m[2]
-        if tag is None:
-            if m[0][0] != "<" or m[0] == "<":
-                text.append(m[0])
-                if in_link:
-                    linked += len(m[0])
+        if page[at] != "<":
+            start, at = at, page.find("<", at)
+            at = size if at < 0 else at
+            plain(page[start:at])
+            continue
+        m = _TAG.match(page, at)
+        if m is None:
+            if page.startswith("<!--", at):
+                end = page.find("-->", at + 4)
+                at = size if end < 0 else end + 3
+            elif page.startswith(("<!", "<?"), at) and last_end > at:
+                at = page.index(">", at) + 1
+            else:
+                plain("<")
+                at += 1
             continue
+        end = ends[bisect_left(marks, m.end())]
+        if end < 0:
+            plain("<")
+            at += 1
+            continue
+        tag, given_text, at = m[2], page[m.end() : end], end + 1
         tag = tag.lower()
         if m[1]:
             if tag == "a":
@@ -155,9 +211,13 @@ def parse_page(page: str) -> tuple[list[int], list[tuple[int, int, int, int, str
             text.append(" " if tag == "br" else "")
             continue
         if tag in HIDDEN and tag != "head":
-            if not m[3].endswith("/") or tag in ("script", "style", "title", "textarea"):
-                end = re.compile(f"</{tag}(?=[\\s/>])[^>]*>", re.I).search(page, at)
-                at = end.end() if end else (size if tag in ("script", "style") else at)
+            if not given_text.endswith("/") or tag in ("script", "style", "title", "textarea"):
+                closing = None if tag in unclosed else re.compile(f"</{re.escape(tag)}(?=[\\s/>])", re.I).search(page, at)
+                if closing and last_end >= closing.end():
+                    at = page.index(">", closing.end()) + 1
+                else:
+                    unclosed.add(tag)
+                    at = size if tag in ("script", "style") else at
             continue
         if tag in BLOCK:
             flush()
@@ -174,7 +234,7 @@ def parse_page(page: str) -> tuple[list[int], list[tuple[int, int, int, int, str
                         break
         if tag in VOID:
             continue
-        given = _attributes(m[3]) if m[3].strip(" /") else {}
+        given = _attributes(given_text) if given_text.strip(" /") else {}
         if tag == "a":
             in_link = 1
         name = f"{tag}.{' '.join(sorted(_NAME.findall(given.get('class', '').lower())))}"
@@ -308,20 +368,23 @@ def page_text(blocks: list[tuple[int, int, int, str]], template: set[int]) -> st
     """Join the texts of the blocks (own token, part, link chars, text) of the page's article that are
     not template, in any part of the page and at any host size.
 
-    The article is the article element's part, else main's, else whatever is no skipped part; in the
-    last case blocks that are mostly links go too.
+    The article is the article element's part, else main's, else an article in an element that is
+    left out by its name, else whatever is no skipped part; in the last case blocks that are mostly
+    links go too. A heading that is template stays in an article, and elsewhere between two blocks
+    that stay.
     """
-    parts = {part for _, part, _, _ in blocks}
-    wanted = ARTICLE if ARTICLE in parts else MAIN if MAIN in parts else PLAIN
-    out = []
+    parts = {part & 7 for _, part, _, _ in blocks}
+    wanted = next((p for p in (ARTICLE, MAIN, OTHER) if p in parts), PLAIN)
+    out: list[str] = []
+    waiting: list[str] = []  # template headings since the last block that stays
     for own, part, linked, text in blocks:
-        if part != wanted:
-            continue
-        if own in template:
-            continue
-        if wanted == PLAIN and linked > LINK_SHARE * len(text):
+        if part & 7 != wanted or (wanted == PLAIN and linked > LINK_SHARE * len(text)):
             continue
-        out.append(text)
+        if own not in template or (part & HEADING and wanted != PLAIN):
+            out += [*waiting, text] if out else [text]
+            waiting = []
+        elif part & HEADING:
+            waiting.append(text)
     return "\n".join(out)
 
 

@@ -3,10 +3,12 @@
 import collections
 import math
 import re
+import time
 import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from adtide.llm import dedup, extraction, hmm, langid, mixing, ngram_join, packing, quality, queries, toxicity, warc
 from adtide.llm.common import id_remainder
@@ -554,6 +556,61 @@ def test_template_text_goes_at_every_host_size(spark):
         assert r["text"] == "Head {0}\nText {0}".format(r["page_id"] % 100), r["url"]
 
 
+def one_page(page):
+    return extraction.page_text([b[1:] for b in extraction.parse_page(page)[1]], set())
+
+
+def test_names_count_as_whole_words():
+    kept = "<p class='share-price'>price</p><section id='related-work'>work</section><p>E = <math><mi>m</mi></math></p>"
+    assert one_page(f"<article>{kept}<div class='share x'>tweet</div></article>") == "price\nwork\nE = m"
+    for outer in ("class='sidebar-layout'", "id='wrapper' class='no-sidebar'", "class='content search-open'"):
+        assert one_page(f"<nav>menu</nav><div {outer}><h1>head</h1><p>body</p></div>") == "head\nbody"
+    assert one_page("<div class='page-header'>site</div><p>body</p><div class='cookie-notice'>eat</div>") == "body"
+
+
+def test_an_article_survives_the_names_around_it():
+    for outer in ("div class='widget sidebar'", "form id=aspnetForm", "div class=header"):
+        tag = outer.split()[0]
+        page = f"<{outer}>before<article><h1>head</h1><p>body</p><form>mail</form></article></{tag}><p>after</p>"
+        assert one_page(page) == "head\nbody"
+    comments = "<section class=comments><article class=comment>reader</article><article>other</article></section>"
+    assert one_page(f"<article>story<article class='comment'>reader</article>{comments}</article>") == "story"
+    assert one_page(f"<article>story</article>{comments}") == one_page(f"<main>story{comments}</main>") == "story"
+    assert one_page("<nav><article>link</article></nav><p>text</p>") == "text"
+    assert one_page("<article class='post related'>only</article>") == "only"
+
+
+def test_headings_of_the_template_stay_in_the_article(spark):
+    page = "<article><h2>Summary</h2><p>Text {0}</p><h2>References</h2><p>Book {0}</p><p>Read more here</p></article>"
+    bare = "<div><h1>Our site</h1><div><h2>Summary</h2><p>Text {0}</p><h2>References</h2><p>Book {0}</p><h3>Related</h3></div></div>"
+    rows = [(i, "http://a.example/", page.format(i)) for i in range(4)] + [(10 + i, "http://b.example/", bare.format(i)) for i in range(4)]
+    got = {r["page_id"]: r["text"] for r in extraction.extract_main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    for i in range(4):
+        assert got[i] == f"Summary\nText {i}\nReferences\nBook {i}"
+        assert got[10 + i] == f"Text {i}\nReferences\nBook {i}"  # without an article, what stands before the text is not its heading
+
+
+def test_bad_markup_takes_linear_time():
+    size = 1_000_000
+    for unit in ("<a '", "<a '\"", "<svg>", "<!", "<a", "<a <b ", "</svg ", "<svg></svg ", "<a b='", "'\"<p "):
+        for last in ("", ">", "'>", "<p>end"):
+            start = time.process_time()
+            extraction.parse_page(unit * (size // len(unit)) + last)
+            assert time.process_time() - start < 6, (unit, last)
+    assert one_page("a < b <p>x 'y\" <b title='>'>c</b> <i d=\"q>w\">e</i> <u '") == "a < b\nx 'y\" c e <u '"
+
+
+def test_extraction_of_odd_rows(spark):
+    """Nulls, an empty table, repeated rows and columns whose names the operator uses."""
+    rows = [(1, "http://h/1", "<p>a &amp; b</p>"), (1, "http://h/1", "<p>a &amp; b</p>"), (None, None, None), (2, "http://h/2", ""), (3, "x", "<p>" + "long " * 200_000)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    for name in ("host", "page", "tokens", "at", "own", "part", "linked", "texts", "members", "text", "n_chars"):
+        pages = pages.withColumn(name, F.lit(1))
+    got = extraction.extract_main_text(pages).collect()
+    assert sorted((r["page_id"] or 0, len(r["text"]), r["n_chars"]) for r in got) == [(0, 0, 0), (1, 5, 5), (1, 5, 5), (2, 0, 0), (3, 999_999, 999_999)]
+    assert extraction.extract_main_text(pages.where("false")).count() == 0
+
+
 def test_every_labelled_language_is_learned(spark):
     rows = [(i, f"wort{i} der die das " * 1_500, f"l{i}") for i in range(30)]  # one text of over 20,000 characters each
     rows += [(100 + i, "alpha beta gamma delta " * 200, "long") for i in range(3)]
