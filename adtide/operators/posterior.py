@@ -10,8 +10,16 @@ with a large one the salted join of ``skew_join`` takes over and only per-draw s
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import exponential_saturation, lag_weights, safe_ratio
 from ..functions.media import MAX_LAG
@@ -20,9 +28,14 @@ from ..sources.files import spread_rows, stage
 from .carryover import weighted_lags
 from .ordered import credible_interval, exact_quantiles, running_totals, skew_join
 
+# Task functions travel by value, so executors need no installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 DRAW = ["panel_id", "chain", "draw"]
 #: Scenarios that share one lag sum.
 TOGETHER = 50
+#: Draws x weeks that a task holds in one matrix.
+CELLS = 1 << 19
 
 
 def by_draw(df: DataFrame) -> DataFrame:
@@ -151,47 +164,86 @@ def posterior_means(draws: DataFrame, series: DataFrame, max_lag: int = MAX_LAG)
     return series.join(means, ["panel_id", "channel"]).withColumn("stock", stock).drop("_w", "xs")
 
 
+def _lag_matrix(xs: pa.Array, t: np.ndarray, max_lag: int) -> np.ndarray:
+    """One row per lag with ``xs[t - lag]``; 0 outside the array and for a null."""
+    x = np.zeros(0) if xs is None else pc.fill_null(xs, 0.0).to_numpy(zero_copy_only=False)
+    x = np.append(x, 0.0)  # the last place answers for all places outside
+    at = t[None, :] - np.arange(max_lag)[:, None]
+    return x[np.where((at >= 0) & (at < len(x) - 1), at, len(x) - 1)]
+
+
+def _media(params: pa.StructArray, lags: np.ndarray) -> np.ndarray:
+    """beta * saturation of a channel by draw and week; a draw with a null among its parameters adds nothing."""
+    one = [pc.struct_field(params, name) for name in ("decay", "sat_k", "beta")]
+    known = np.logical_and.reduce([np.asarray(c.is_valid()) for c in one])
+    decay, sat_k, beta = (np.where(known, pc.fill_null(c, 0.0).to_numpy(zero_copy_only=False), other) for c, other in zip(one, (0.0, 1.0, 0.0)))
+    weights = decay[:, None] ** np.arange(float(len(lags)))
+    with np.errstate(divide="raise", invalid="raise"):  # as Spark's division
+        weights /= weights.sum(axis=1, keepdims=True)
+        depth = (weights @ lags) / -sat_k[:, None]
+    return -beta[:, None] * np.expm1(depth)
+
+
+def _expected(rows: pa.RecordBatch, max_lag: int) -> pa.ListArray:
+    """The weeks of each row with t and mu; all rows are draws of one panel, whose series and calendar each of them carries."""
+    weeks = rows.column("weeks")[0].values
+    t = pc.struct_field(weeks, "t").to_numpy().astype(np.int64)
+    base = ["intercept", *[f"season_{i}" for i in range(4)], "trend", "comp"]
+    calendar = [pc.struct_field(weeks, name) for name in (*[f"season_{i}" for i in range(4)], "trend", "competitor")]
+    number = lambda c: pc.fill_null(c.cast(pa.float64()), 0.0).to_numpy(zero_copy_only=False)
+    unknown = lambda cs: np.logical_or.reduce([np.asarray(c.is_null()) for c in cs])
+    shared = np.stack([number(rows.column(name)) for name in base], axis=1)
+    mu = shared[:, :1] + shared[:, 1:] @ np.stack([number(c) for c in calendar])
+    series = rows.column("_xs")[0].values
+    params = rows.column("_of").flatten()
+    for i, xs in enumerate(series):
+        mine = params.take(pa.array(np.arange(rows.num_rows) * len(series) + i))
+        mu += _media(mine, _lag_matrix(xs.values, t, max_lag))
+    null = unknown([rows.column(name) for name in base])[:, None] | unknown(calendar)[None, :]
+    each = pa.StructArray.from_arrays(
+        [pa.array(np.tile(t, rows.num_rows), pa.int32()), pa.array(mu.ravel(), pa.float64(), mask=null.ravel())], names=["t", "mu"]
+    )
+    return pa.ListArray.from_arrays(pa.array(np.arange(rows.num_rows + 1) * len(t), pa.int32()), each)
+
+
+def _expected_task(max_lag: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            panel = batch.column("panel_id").dictionary_encode().indices.to_numpy()
+            for p in range(panel.max() + 1 if len(panel) else 0):
+                at = np.flatnonzero(panel == p)
+                weeks = len(batch.column("weeks")[int(at[0])])
+                step = max(1, CELLS // max(weeks, 1))
+                for start in range(0, len(at) if weeks else 0, step):
+                    rows = batch.take(pa.array(at[start : start + step]))
+                    yield pa.RecordBatch.from_arrays([*[rows.column(c) for c in DRAW], _expected(rows, max_lag)], names=[*DRAW, "_weeks"])
+
+    return run
+
+
 def expected_by_draw(
     draws: DataFrame, globals_: DataFrame, series: DataFrame, weekly: DataFrame, max_lag: int = MAX_LAG
 ) -> DataFrame:
     """(panel_id, chain, draw, t, mu): expected revenue of every draw and week, scaled.
 
     A draw becomes one row with the parameters of all its channels beside its globals, and a panel one
-    row with all its series and its calendar. They meet once, and ``mu`` of a week is one
-    expression of that row, so no rows of draws x weeks are merged again. Channels are taken by their
-    place among the panel's channels; one without parameters in the draw, or a draw without any,
-    adds nothing.
+    row with all its series and its calendar. They meet once; the tasks form ``mu`` of their draws
+    as matrices of draws x weeks, at most ``CELLS`` at a time, so no rows of draws x weeks are merged
+    again and the cost of a week does not jump with the number of channels. A channel without
+    parameters in the draw, or a draw without any, adds nothing.
     """
     panels = series.groupBy("panel_id").agg(F.sort_array(F.collect_list(F.struct("channel", "xs"))).alias("_series"))
+    panels = panels.select("panel_id", F.col("_series.channel").alias("_channels"), F.col("_series.xs").alias("_xs"))
     panels = stage(panels.join(weekly.select("panel_id", "weeks"), "panel_id"), "panels")
-    channels = range(panels.agg(F.max(F.size("_series"))).first()[0] or 0)
     entry = F.struct("channel", F.struct("decay", "sat_k", "beta"))
     packed = by_draw(draws).groupBy(*DRAW).agg(F.map_from_entries(F.collect_list(entry)).alias("_params"))
     rows = by_draw(globals_).join(packed, DRAW, "left")
     rows = skew_join(rows, panels, ["panel_id"], ["chain", "draw"])
-    one = [F.get("_series", F.lit(i)) for i in channels]
-    rows = rows.select(
-        "*", *[o["xs"].alias(f"_xs{i}") for i, o in enumerate(one)],
-        *[F.try_element_at("_params", o["channel"]).alias(f"_p{i}") for i, o in enumerate(one)],
-    )
-    rows = rows.select(
-        "*", *[w.alias(f"_w{i}_{lag}") for i in channels for lag, w in enumerate(lag_weights(F.col(f"_p{i}.decay"), max_lag))],
-        F.explode("weeks").alias("wk"),
-    )
-    t = F.col("wk.t").cast("int")
-    season = sum(
-        (F.col(f"season_{i}") * F.col(f"wk.season_{i}") for i in range(1, 4)),
-        F.col("season_0") * F.col("wk.season_0"),
-    )
-    mu = (
-        F.col("intercept") + season + F.col("trend") * F.col("wk.trend")
-        + F.col("comp") * F.col("wk.competitor")
-    )
-    for i in channels:
-        adstock = weighted_lags([F.col(f"_w{i}_{lag}") for lag in range(max_lag)], F.col(f"_xs{i}"), t)
-        media = F.col(f"_p{i}.beta") * exponential_saturation(adstock, F.col(f"_p{i}.sat_k"))
-        mu = mu + F.coalesce(media, F.lit(0.0))
-    return rows.select(*DRAW, t.alias("t"), mu.alias("mu"))
+    shared = ["intercept", *[f"season_{i}" for i in range(4)], "trend", "comp"]
+    rows = rows.select(*DRAW, *shared, "_xs", "weeks", F.transform("_channels", lambda c: F.try_element_at("_params", c)).alias("_of"))
+    week = T.StructType([T.StructField("t", T.IntegerType()), T.StructField("mu", T.DoubleType())])
+    schema = T.StructType([*[rows.schema[c] for c in DRAW], T.StructField("_weeks", T.ArrayType(week))])
+    return rows.mapInArrow(_expected_task(max_lag), schema).select(*DRAW, F.explode("_weeks").alias("wk")).select(*DRAW, "wk.t", "wk.mu")
 
 
 def predictive_band(mu: DataFrame, weekly: DataFrame) -> DataFrame:

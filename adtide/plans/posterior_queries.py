@@ -321,7 +321,7 @@ def predictive_band(spark: SparkSession, sf_dir: str) -> DataFrame:
         stage(panel.pack_series(dense), "series"),
         weekly,
     )
-    out = posterior.predictive_band(stage(mu, "mu"), weekly)
+    out = posterior.predictive_band(stage(mu.select("panel_id", "t", "mu"), "mu"), weekly)
     return out.select("panel_id", "week", "t", *rounded(3, "mean", "lo", "hi"))
 
 

@@ -82,3 +82,15 @@ def test_scenarios_share_a_lag_sum(spark, tables, monkeypatch, together):
                 assert got[s, p, k, d, c] == pytest.approx(want)
     plan = final_plan(posterior.channel_revenue(draws, series, scenarios))
     assert plan.count("Generate explode(sequence") == 1  # weeks are expanded once for all scenarios
+
+
+def test_expected_revenue_is_formed_outside_the_generated_code(tables):
+    """No lag sum or saturation in the expressions of a row of draw and week: with five channels they exceed what
+    the JVM compiles. A null among the globals gives null weeks."""
+    draws, shared, series, weekly = tables
+    rows = posterior.expected_by_draw(draws, shared.replace(GLOBALS[0][3], None, ["intercept"]), series, weekly)
+    plan = final_plan(rows)
+    assert "EXPM1" not in plan.upper()
+    got = {(r["panel_id"], r["chain"], r["draw"]) for r in rows.where("mu IS NULL").collect()}
+    assert got == {GLOBALS[0][:3]}
+    assert rows.where("mu IS NULL").count() == WEEKS[GLOBALS[0][0]]
