@@ -4,8 +4,8 @@
 is one packed row per (panel_id, channel). Draws are placed by (panel_id, chain, draw) first: a
 row is small but stands for weeks x scenarios of work, and a hot panel is spread over all tasks.
 A draw then meets its packed series, is expanded to weeks inside the task and summed back there.
-With a broadcast series every later group by draw keeps that placement and shuffles nothing more;
-with a large one the salted join of ``skew_join`` takes over and only per-draw sums move.
+Weeks are summed under whole numbers for the series, since the keys cost most there; after that only
+per-draw sums move. A hot series is dealt over copies by ``skew_join``.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,14 +47,33 @@ def draw_adstock(draws: DataFrame, series: DataFrame, max_lag: int = MAX_LAG) ->
     """Normalised adstock of every draw and week: adds t, adstock and the series constants."""
     names = [f"_w{i}" for i in range(max_lag)]
     weights = [w.alias(n) for w, n in zip(lag_weights(F.col("decay"), max_lag), names)]
+    # zeros stand before the start, past the end and for a null, so a week's lag sum has no case to tell apart
+    known = F.transform(F.coalesce("xs", F.array().cast("array<double>")), lambda x: F.coalesce(x, F.lit(0.0)))
+    past = F.greatest(F.col("n_weeks") - F.size(known), F.lit(0)).cast("int")
+    padded = F.concat(F.array_repeat(F.lit(0.0), max_lag - 1), known, F.array_repeat(F.lit(0.0), past))
     rows = skew_join(
-        by_draw(draws).select("*", *weights), series, ["panel_id", "channel"], ["chain", "draw"]
+        by_draw(draws).select("*", *weights), series.withColumn("xs", padded), ["panel_id", "channel"], ["chain", "draw"]
     )
     rows = rows.select(
         "*", F.explode(F.sequence(F.lit(0), F.col("n_weeks").cast("int") - 1)).alias("t")
     )
-    adstock = weighted_lags([F.col(n) for n in names], F.col("xs"), F.col("t"))
-    return rows.withColumn("adstock", adstock).drop("xs", *names)
+    terms = [F.col(n) * F.get("xs", F.col("t") + (max_lag - 1 - i)) for i, n in enumerate(names)]
+    return rows.withColumn("adstock", sum(terms[1:], terms[0])).drop("xs", *names)
+
+
+def sum_weeks(
+    draws: DataFrame, series: DataFrame, sums: list[Column], also: list[str] | None = None
+) -> DataFrame:
+    """Aggregates over the weeks of ``draw_adstock``, one row per draw and channel (and ``also``).
+
+    A row per draw and week meets the hash table of its draw, so the keys are what costs most: a whole
+    number names the series there, and its panel and channel come back with the sums. The numbers
+    are stored, since both readers have to see the same.
+    """
+    numbered = stage(series.withColumn("_s", F.monotonically_increasing_id()), "numbered")
+    rows = draw_adstock(draws, numbered)
+    summed = rows.groupBy("_s", "chain", "draw", *(also or [])).agg(*sums)
+    return summed.join(numbered.select("_s", "panel_id", "channel"), "_s").drop("_s")
 
 
 def channel_revenue(draws: DataFrame, series: DataFrame, scenarios: DataFrame) -> DataFrame:
@@ -71,12 +90,11 @@ def channel_revenue(draws: DataFrame, series: DataFrame, scenarios: DataFrame) -
     packed = numbered.groupBy(*on, "_chunk").agg(F.transform(F.sort_array(F.collect_list(F.struct("_j", "m"))), lambda s: s["m"]).alias("_ms"))
     packed = stage(packed, "multipliers")
     most = packed.agg(F.max(F.size("_ms"))).first()[0] or 1
-    rows = draw_adstock(draws.join(packed, on), series)
     sums = [
         F.sum(F.col("revenue_mean") * F.col("beta") * exponential_saturation(F.get("_ms", F.lit(j)) * F.col("adstock"), F.col("sat_k"))).alias(f"_r{j}")
         for j in range(most)
     ]
-    summed = rows.groupBy(*DRAW, "channel", "_chunk").agg(*sums)
+    summed = sum_weeks(draws.join(packed, on), series, sums, ["_chunk"])
     each = F.inline(F.array(*[F.struct(F.lit(j).alias("_j"), F.col(f"_r{j}").alias("revenue")) for j in range(most)]))
     return summed.select(*DRAW, "channel", "_chunk", each).join(numbered.drop("m"), [*on, "_chunk", "_j"]).select(
         "scenario_id", *DRAW, "channel", "revenue"
@@ -109,11 +127,7 @@ def roi_by_draw(draws: DataFrame, series: DataFrame) -> DataFrame:
     """Revenue of a channel over its spend, draw by draw; 0 without spend."""
     sat = exponential_saturation(F.col("adstock"), F.col("sat_k"))
     worth = F.sum(F.col("revenue_mean") * F.col("beta") * sat)
-    return (
-        draw_adstock(draws, series)
-        .groupBy(*DRAW, "channel")
-        .agg(safe_ratio(worth, F.max("spend_total")).alias("roi"))
-    )
+    return sum_weeks(draws, series, [safe_ratio(worth, F.max("spend_total")).alias("roi")]).select(*DRAW, "channel", "roi")
 
 
 def posterior_roi(roi: DataFrame, series: DataFrame) -> DataFrame:

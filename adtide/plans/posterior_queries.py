@@ -161,11 +161,9 @@ def convergence_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     round(max(adstock), 9) AS adstock_max FROM draw_adstock GROUP BY ALL"""
 )
 def adstock_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = posterior.draw_adstock(src.draws(spark, sf_dir), _series(spark, sf_dir))
-    return rows.groupBy(*PC, "chain", "draw").agg(
-        F.round(F.sum("adstock"), 8).alias("adstock_sum"),
-        F.round(F.max("adstock"), 9).alias("adstock_max"),
-    )
+    sums = [F.sum("adstock").alias("adstock_sum"), F.max("adstock").alias("adstock_max")]
+    out = posterior.sum_weeks(src.draws(spark, sf_dir), _series(spark, sf_dir), sums)
+    return out.select(*PC, "chain", "draw", *rounded(8, "adstock_sum"), *rounded(9, "adstock_max"))
 
 
 @query(

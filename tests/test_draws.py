@@ -94,3 +94,19 @@ def test_expected_revenue_is_formed_outside_the_generated_code(tables):
     got = {(r["panel_id"], r["chain"], r["draw"]) for r in rows.where("mu IS NULL").collect()}
     assert got == {GLOBALS[0][:3]}
     assert rows.where("mu IS NULL").count() == WEEKS[GLOBALS[0][0]]
+
+
+def test_weeks_are_summed_under_numbers(spark, tables):
+    """The aggregate that a row per draw and week meets has no text among its keys; sums equal a loop."""
+    draws, _, series, _ = tables
+    longer = series.withColumn("n_weeks", series["n_weeks"] + 2)  # weeks past the array still see its last values
+    out = posterior.sum_weeks(draws, longer, [posterior.F.sum("adstock").alias("total")])
+    got = {(r["panel_id"], r["chain"], r["draw"], r["channel"]): r["total"] for r in out.collect()}
+    assert len(got) == len(DRAWS)
+    for p, k, d, c, decay, *_ in DRAWS:
+        xs = SPEND[p, c] + [0.0, 0.0]
+        assert got[p, k, d, c] == pytest.approx(sum(stock(xs, decay, t) for t in range(len(xs))))
+    plan = final_plan(posterior.roi_by_draw(draws, series.withColumn("spend_total", posterior.F.lit(1.0))))
+    above = plan[: plan.index("Generate explode(sequence")].splitlines()
+    nearest = [line for line in above if "Aggregate(" in line][-1]
+    assert "panel_id" not in nearest.split("functions=")[0] and "channel" not in nearest.split("functions=")[0]
