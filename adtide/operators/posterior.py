@@ -310,13 +310,15 @@ def rank_normalised(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """``df`` with ``value`` replaced by the normal quantile of (rank - 3/8) / (n + 1/4) in its group;
     equal values share their middle rank. Rows with a null value are left out.
 
-    Ranks come from running totals over ranges of values, so no group is ordered in one task.
+    Ranks come from running totals over ranges of values, so no group is ordered in one task. They are
+    stored before they meet the rows: the planner then sees which side is the smaller one. Repeated
+    values make the rows small on disk, and they would be sent to the few tasks that hold the ranks.
     """
     rows = stage(df.where(F.col(value).isNotNull()), "ranked")
     totals = running_totals(rows.withColumn("_n", F.lit(1)), keys, value, ["_n"])
     middle = F.col("_n_cum") - (F.col("_n") - 1) / 2
     scored = totals.select(*keys, value, ((middle - 0.375) / (F.col("_n_total") + 0.25)).alias("_p"))
-    return rows.join(scored, [*keys, value]).withColumn(value, probit("_p")).drop("_p")
+    return rows.join(stage(scored, "scored"), [*keys, value]).withColumn(value, probit("_p")).drop("_p")
 
 
 def rank_rhat(params: DataFrame) -> DataFrame:

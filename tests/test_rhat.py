@@ -56,3 +56,15 @@ def test_rank_rhat_matches_numpy(spark):
     assert got["q", "same"]["rhat"] == pytest.approx(got["p", "same"]["rhat"], rel=1e-12)
     simple = {r["param"]: r["rhat"] for r in posterior.split_rhat(df.where(F.col("panel_id") == "p")).collect()}
     assert got["p", "width"]["rhat"] > 1.1 > 1.02 > simple["width"]  # only the folded ranks see it
+
+
+def test_rows_are_not_sent_to_the_ranks(spark):
+    """Many rows of few values are small on disk: the ranks go to the rows, not the other way round."""
+    from plan_text import final_plan
+
+    df = spark.range(200_000).selectExpr("id % 3 AS k", "CAST(id % 7 AS DOUBLE) AS value", "id % 4 AS chain")
+    out = posterior.rank_normalised(df, ["k"], "value")
+    plan = final_plan(out)
+    assert "BroadcastHashJoin" in plan and "Window" not in plan
+    build = plan[plan.index("BroadcastHashJoin") :].splitlines()[0]
+    assert "BuildRight" in build and out.count() == 200_000
