@@ -50,9 +50,13 @@ def roc_curve(confusion: DataFrame) -> DataFrame:
 
 def auc_roc(confusion: DataFrame) -> DataFrame:
     """Exact area: share of (positive, negative) pairs ranked right, ties count one half."""
+    return confusion.agg(_roc_area().alias("auc_roc"))
+
+
+def _roc_area() -> Column:
     pairs = F.col("neg") * (F.col("tp") - F.col("pos") / 2)
     total = F.max("positives").cast("double") * F.max("negatives")
-    return confusion.agg(F.try_divide(F.sum(pairs), total).alias("auc_roc"))
+    return F.try_divide(F.sum(pairs), total)
 
 
 def auc_pr(confusion: DataFrame) -> DataFrame:
@@ -60,12 +64,16 @@ def auc_pr(confusion: DataFrame) -> DataFrame:
 
     The point before a score needs only that score's own row: tp - pos, fp - neg.
     """
+    return confusion.agg(_pr_area().alias("auc_pr"))
+
+
+def _pr_area() -> Column:
     tp, fp = F.col("tp"), F.col("fp")
     tp0, fp0 = tp - F.col("pos"), fp - F.col("neg")
     here = tp / (tp + fp)
     before = F.when(tp0 + fp0 == 0, here).otherwise(F.try_divide(tp0, tp0 + fp0))
     area = F.col("pos") * (here + before) / 2
-    return confusion.agg(F.try_divide(F.sum(area), F.max("positives")).alias("auc_pr"))
+    return F.try_divide(F.sum(area), F.max("positives"))
 
 
 def log_loss_term(label: Column, p: Column, eps: float = EPS) -> Column:
@@ -96,13 +104,15 @@ def lift_pct(model: Column, base: Column) -> Column:
 def metric_report(
     scored: DataFrame, label: str = "label", score: str = "score", part: str = "split"
 ) -> DataFrame:
-    """(metric, model, baseline, lift_pct) on the test rows."""
+    """(metric, model, baseline, lift_pct) on the test rows; of the others only labels are read. Both areas
+    come from one pass over the ordered scores."""
     test = scored.where(F.col(part) == "test")
     confusion = confusion_by_score(test, label, score)
+    areas = confusion.agg(F.struct(_roc_area().alias("auc_roc"), _pr_area().alias("auc_pr")).alias("areas"))
     scalars = (
         baseline_log_loss(scored, label, part)
-        .withColumn("auc_roc", auc_roc(confusion).scalar())
-        .withColumn("auc_pr", auc_pr(confusion).scalar())
+        .withColumn("_areas", areas.scalar())
+        .select("*", "_areas.*")
         .withColumn("log_loss", log_loss(test, label, score).scalar())
     )
 

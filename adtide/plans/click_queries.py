@@ -232,11 +232,13 @@ def trained_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = clicks.feature_table(split, INT_COLS, CAT_COLS, ["label", "split"])
     stored = write_parquet(features, scratch_path(spark, "features"), ["split"], gather=False)
     model = clicks.fit_click_model(stored.where(F.col("split") == "train"))
-    scored = stage(clicks.score_rows(model, stored, ["label", "split"]), "scored")
-    report = metrics.metric_report(scored)
+    test = stage(clicks.score_rows(model, stored.where(F.col("split") == "test"), ["label", "split"]), "scored")
+    # of the train rows the report needs the labels only
+    rest = stored.where(F.col("split") != "test").select("label", "split", F.lit(None).cast("double").alias("score"))
+    report = metrics.metric_report(test.unionByName(rest))
     perfect = F.when(F.col("metric") == "log_loss", 0.0).otherwise(1.0)
     way = (F.col("model") - F.col("baseline")) / (perfect - F.col("baseline"))
-    tested = scored.where(F.col("split") == "test").agg(F.count("*").alias("n_test"))
+    tested = test.agg(F.count("*").alias("n_test"))
     return report.select(
         "metric", tested.scalar().alias("n_test"), *rounded(9, "baseline"), (way > 0.5).alias("finds_signal")
     )
