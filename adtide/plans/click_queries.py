@@ -252,7 +252,9 @@ def trained_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def feature_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dimension, rows and size on disk of the stored features; at most one value a column, and no
     fewer than the categoricals when no two of them meet."""
-    split = clicks.with_split(_clean(spark, sf_dir), src.row_bucket(100))
+    # tasks sort what they write by split, so rows are dealt in parts of bounded size first
+    clean = _clean(spark, sf_dir).hint("rebalance", *ROW_KEY)
+    split = clicks.with_split(clean, src.row_bucket(100))
     features = clicks.feature_table(split, INT_COLS, CAT_COLS, ["label", "split"])
     path = scratch_path(spark, "features")
     write_parquet(features, path, ["split"], gather=False)
