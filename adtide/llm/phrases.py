@@ -113,19 +113,20 @@ def _counted(langs: pa.Array, texts: pa.Array, scan: int, shards: int, table: np
         if not len(at):
             return
         active = both[at].astype(np.int64) + 1
+        now = np.flatnonzero((active <= scan) & (scan < active + shards))
+        if k == LONGEST:  # nothing is built on these, so only those that are counted matter
+            at, active, now = at[now], active[now], np.arange(len(now))
         hashed = _mix(hashes[at], last_hash[at + k - 1])
         place = _place(hashed)
-        now = np.flatnonzero((active <= scan) & (scan < active + shards))
         if len(now):
             where = at[now]
-            key = ids[where] * len(distinct) + ids[where + 1]
-            for j in range(2, k):
-                key = pd.factorize(key)[0] * len(distinct) + ids[where + j]
-            key, found = pd.factorize(key)
+            key, found = pd.factorize(_joined([ids[where + j] for j in range(k)], len(distinct)))
             one = np.zeros(len(found), dtype=np.int64)
             one[key] = np.arange(len(now))  # any occurrence of each
             words = [name_id[ids[where[one] + j]] for j in range(k)]
             yield batch(k, lang_id[ids[where[one]]], words, active[now][one], place[now][one], np.bincount(key, minlength=len(found)))
+        if k == LONGEST:
+            return
         # no phrase reaches the threshold before it is counted, whatever else shares its place
         reached = np.full(len(both), NEVER)
         reached[at] = np.minimum(np.maximum(table[place], active), NEVER)
@@ -133,6 +134,17 @@ def _counted(langs: pa.Array, texts: pa.Array, scan: int, shards: int, table: np
         hashes[at] = hashed
 
 
+def _joined(parts: list[np.ndarray], size: int) -> np.ndarray:
+    """One whole number for each row of ``parts``, which are below ``size``; numbered anew only where 63 bits end."""
+    key, below = parts[0], size
+    for part in parts[1:]:
+        if below * size > 1 << 63:
+            key, found = pd.factorize(key)
+            below = len(found)
+        key, below = key * size + part, below * size
+    return key
+
+
 def _scan_task(scan: int, shards: int, reached) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = reached.value

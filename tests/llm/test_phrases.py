@@ -82,3 +82,16 @@ def test_products_pass_64_bits(spark):
     rows = [("en", "a", 1, 4 * big), ("en", "b", 1, 2 * big + 1), ("en", "a b", 2, big)]
     df = spark.createDataFrame(rows, "lang string, phrase string, k tinyint, n bigint")
     assert phrases.score_phrases(df).first()["score"] == 2_000_000 * big // (6 * big + 1)
+
+
+def test_phrase_keys_are_numbered_anew_only_past_63_bits(monkeypatch):
+    """Up to four words of a slice travel as one number without a pass over them for each word."""
+    calls, factorize = [], phrases.pd.factorize
+    monkeypatch.setattr(phrases.pd, "factorize", lambda x: calls.append(len(x)) or factorize(x))
+    rng = np.random.default_rng(4)
+    for size, passes in ((50_000, 0), (1 << 21, 1), (1 << 31, 2)):
+        calls.clear()
+        parts = [rng.choice(np.array([0, 1, size - 1]), 500) for _ in range(4)]
+        keys = phrases._joined(parts, size)
+        assert len(calls) == passes
+        assert len(set(keys.tolist())) == len(set(zip(*(p.tolist() for p in parts)))) and keys.min() >= 0
